@@ -1,0 +1,4 @@
+from contrail.streaming.scoring import score_stream, split_requests
+from contrail.streaming.traffic import request_log, traffic_stream, with_event_time
+
+__all__ = ["request_log", "score_stream", "split_requests", "traffic_stream", "with_event_time"]

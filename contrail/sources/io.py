@@ -67,9 +67,14 @@ def read_versions(spark: SparkSession, paths: Mapping[str, str], fmt: str = "par
     return union_versions({v: spark.read.format(fmt).load(p) for v, p in paths.items()}, version_col)
 
 
-def source_stats(df: DataFrame) -> DataFrame:
-    """Files behind a scan and their total size in bytes (S7), from the
-    ``_metadata`` column; no file is opened on the driver."""
-    files = df.select(F.col("_metadata.file_path").alias("file_path"),
-                      F.col("_metadata.file_size").alias("file_size")).distinct()
-    return files.agg(F.count(F.lit(1)).alias("n_files"), F.sum("file_size").alias("size_bytes"))
+def source_stats(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:
+    """Number of files under ``path`` and their total size in bytes.
+
+    A ``binaryFile`` listing with only ``path`` and ``length`` selected: the
+    file contents are pruned away, so nothing is read, and files without
+    rows still count (row-level ``_metadata`` would miss them)."""
+    r = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    if pattern:
+        r = r.option("pathGlobFilter", pattern)
+    files = r.load(path).select("path", "length")
+    return files.agg(F.count(F.lit(1)).alias("n_files"), F.coalesce(F.sum("length"), F.lit(0)).alias("size_bytes"))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from contrail.operators.ranking import exact_quantiles
+from contrail.operators.ranking import quantiles_from_counts, value_counts_table
 
 
 def dataset_stats(df: DataFrame, key: str = "flight_id", flag: str = "is_significant_delay",
@@ -36,14 +36,17 @@ def delay_summary(df: DataFrame, flag: str = "is_significant_delay", minutes: st
                   by: Sequence[str] = (), broadcast_groups: bool = True) -> DataFrame:
     """mean / median / p95 / max of ``minutes`` among positive rows.
 
-    Quantiles are exact with linear interpolation; all four are NULL for a
-    group without positives.  The quantiles never gather a group's values
-    in one buffer (see ``exact_quantiles``).
+    One pass over the input: positives are reduced to counts per distinct
+    value (per group), checkpointed, and all four measures come from that
+    small table - quantiles exact with linear interpolation, never gathering
+    a group's values in one buffer.  NULL for a group without positives.
     """
-    pos = df.filter(F.col(flag) == 1)
-    simple = pos.groupBy(*by).agg(F.avg(minutes).alias("mean_delay"), F.max(minutes).alias("max_delay"))
-    qs = exact_quantiles(pos, minutes, [0.5, 0.95], by, ["median_delay", "p95_delay"],
-                         broadcast_offsets=broadcast_groups)
+    counts = value_counts_table(df.filter(F.col(flag) == 1), minutes, by)
+    simple = counts.groupBy(*by).agg(
+        (F.sum(F.col(minutes) * F.col("_c")) / F.sum("_c")).alias("mean_delay"),
+        F.max(minutes).alias("max_delay"))
+    qs = quantiles_from_counts(counts, minutes, [0.5, 0.95], by, ["median_delay", "p95_delay"],
+                               broadcast_offsets=broadcast_groups)
     if by:
         return simple.join(qs, list(by), "left")
     return simple.withColumn("_k", F.lit(1)).join(qs.withColumn("_k", F.lit(1)), "_k", "left").drop("_k")

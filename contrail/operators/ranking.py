@@ -54,7 +54,7 @@ def value_buckets(df: DataFrame, value: str, n: int = 64, accuracy: int = 10000)
 def running_totals(df: DataFrame, group_cols: Sequence[str], bucket: Column,
                    order_by: Sequence[Column | str], sum_cols: Sequence[str] = (),
                    rank_col: str = "rank", prefix: str = "cum_", descending: bool = False,
-                   broadcast_offsets: bool = True) -> DataFrame:
+                   broadcast_offsets: bool = True, group_size_col: str | None = None) -> DataFrame:
     """Exact 1-based ``rank_col`` (row number) and inclusive running sums
     ``prefix + c`` within each group, in the order ``(bucket, *order_by)``.
 
@@ -62,6 +62,7 @@ def running_totals(df: DataFrame, group_cols: Sequence[str], bucket: Column,
     ``descending``).  ``order_by`` should be a total order for a
     deterministic row number.  ``broadcast_offsets`` is safe when the number
     of groups is bounded (the offset table has groups x buckets rows).
+    ``group_size_col`` adds the row count of the whole group.
     """
     g = list(group_cols)
     b = df.withColumn("_bkt", bucket)
@@ -72,7 +73,8 @@ def running_totals(df: DataFrame, group_cols: Sequence[str], bucket: Column,
     offsets = totals.select(
         *g, "_bkt",
         F.coalesce(F.sum("_bn").over(wo), F.lit(0)).alias("_on"),
-        *[F.coalesce(F.sum(f"_bs_{c}").over(wo), F.lit(0)).alias(f"_os_{c}") for c in sum_cols])
+        *[F.coalesce(F.sum(f"_bs_{c}").over(wo), F.lit(0)).alias(f"_os_{c}") for c in sum_cols],
+        *([F.sum("_bn").over(Window.partitionBy(*g)).alias(group_size_col)] if group_size_col else []))
     orders = [F.col(c) for c in order_by] if order_by and isinstance(order_by[0], str) else list(order_by)
     wl = Window.partitionBy(*g, "_bkt").orderBy(*orders)
     wl_rows = wl.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -88,19 +90,29 @@ def running_totals(df: DataFrame, group_cols: Sequence[str], bucket: Column,
     return out.drop(*[c for c in drop if c in out.columns])
 
 
-def exact_quantiles(df: DataFrame, value: str, qs: Sequence[float], group_cols: Sequence[str] = (),
-                    names: Sequence[str] | None = None, n_buckets: int = 64,
-                    broadcast_offsets: bool = True) -> DataFrame:
-    """Exact quantiles with linear interpolation (pandas' default, DuckDB's
-    ``quantile_cont``) per group, without holding a group's values in memory.
-
-    Values are first counted per distinct value (partial aggregation), then
-    ranked with ``running_totals``; the value at 0-based rank r is the
-    distinct value whose cumulative count range covers r.
-    """
+def value_counts_table(df: DataFrame, value: str, group_cols: Sequence[str] = (),
+                       materialize: bool = True) -> DataFrame:
+    """(group..., value, _c): rows per distinct value - a partial aggregate
+    whose size is the number of distinct values, not rows.  ``materialize``
+    checkpoints it into the shared checkpoint folder, so the bucket
+    boundaries and the ranks read this small table instead of recomputing
+    the input twice."""
+    counts = df.filter(F.col(value).isNotNull()).groupBy(*group_cols, value).agg(F.count(F.lit(1)).alias("_c"))
+    if materialize:
+        from contrail.session import cut_lineage
+        counts = cut_lineage(counts)
+    return counts
+
+
+def quantiles_from_counts(counts: DataFrame, value: str, qs: Sequence[float], group_cols: Sequence[str] = (),
+                          names: Sequence[str] | None = None, n_buckets: int = 64,
+                          broadcast_offsets: bool = True) -> DataFrame:
+    """Exact quantiles (linear interpolation between the two neighbouring
+    ranks, as pandas' default and DuckDB's ``quantile_cont``) from a
+    ``value_counts_table``.  The value at 0-based rank r is the distinct
+    value whose cumulative count range covers r."""
     g = list(group_cols)
     names = list(names or [f"q{int(round(q * 100))}" for q in qs])
-    counts = df.filter(F.col(value).isNotNull()).groupBy(*g, value).agg(F.count(F.lit(1)).alias("_c"))
     bucket = value_buckets(counts, value, n_buckets)
     ranked = running_totals(counts, g, bucket, [value], ["_c"], rank_col="_r", prefix="_cum",
                             broadcast_offsets=broadcast_offsets)
@@ -124,3 +136,13 @@ def exact_quantiles(df: DataFrame, value: str, qs: Sequence[float], group_cols:
                       F.col(f"_{name}_frac"))
         outs.append((lo + (hi - lo) * fr).alias(name))
     return agg.select(*outs)
+
+
+def exact_quantiles(df: DataFrame, value: str, qs: Sequence[float], group_cols: Sequence[str] = (),
+                    names: Sequence[str] | None = None, n_buckets: int = 64,
+                    broadcast_offsets: bool = True, materialize: bool = True) -> DataFrame:
+    """Exact quantiles per group without holding a group's values in one
+    buffer: distinct-value counts (partial aggregation), then exact ranks
+    with ``running_totals``."""
+    counts = value_counts_table(df, value, group_cols, materialize)
+    return quantiles_from_counts(counts, value, qs, group_cols, names, n_buckets, broadcast_offsets)

@@ -33,7 +33,7 @@ def _case(col: str, mapping: dict[str, str], default=None):
 def trips_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per lineitem (keys repeat, as flight ids do in the raw file),
     with labels derived from ``delay_minutes``."""
-    li = read_table(spark, sf_dir, "lineitem")
+    li = read_table(spark, sf_dir, "lineitem", balance=True)
     orders = read_table(spark, sf_dir, "orders")
     cust = read_table(spark, sf_dir, "customer")
     supp = read_table(spark, sf_dir, "supplier")
@@ -91,7 +91,7 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Binary scores with many ties: ``p`` has 50 distinct values."""
-    li = read_table(spark, sf_dir, "lineitem")
+    li = read_table(spark, sf_dir, "lineitem", balance=True)
     return li.select(
         "l_orderkey", "l_linenumber",
         (F.col("l_quantity") / F.lit(50.0)).alias("p"),
@@ -101,7 +101,7 @@ def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def class_preds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Multiclass actual/predicted pairs (order priority as the class)."""
-    li = read_table(spark, sf_dir, "lineitem")
+    li = read_table(spark, sf_dir, "lineitem", balance=True)
     orders = read_table(spark, sf_dir, "orders")
     return li.join(orders, li.l_orderkey == orders.o_orderkey).select(
         "l_orderkey", "l_linenumber",
@@ -113,7 +113,7 @@ def class_preds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def class_proba(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-row class probability vectors (with ties) for argmax tests."""
-    li = read_table(spark, sf_dir, "lineitem")
+    li = read_table(spark, sf_dir, "lineitem", balance=True)
     return li.select(
         "l_orderkey", "l_linenumber",
         F.array(F.col("l_discount"), F.col("l_tax"), F.col("l_quantity") / F.lit(500.0)).alias("proba"),
@@ -122,7 +122,7 @@ def class_proba(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Request log from ``events``: handler, status class, duration (s)."""
-    ev = read_table(spark, sf_dir, "events")
+    ev = read_table(spark, sf_dir, "events", balance=True)
     return ev.select(
         "event_id", "ts",
         F.col("event_type").alias("handler"),
@@ -143,7 +143,7 @@ def dataset_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Run log: experiment = order priority, run = order, metrics as a map."""
-    o = read_table(spark, sf_dir, "orders")
+    o = read_table(spark, sf_dir, "orders", balance=True)
     return o.select(
         F.col("o_orderpriority").alias("experiment"),
         F.col("o_orderkey").alias("run_id"),

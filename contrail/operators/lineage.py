@@ -6,7 +6,7 @@ import datetime as _dt
 import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -93,13 +93,13 @@ def lineage_check(run_log: DataFrame, version_fps: DataFrame, base: str, newest:
     run's version still equals the base and the newest version.  The
     fingerprint table has one row per version (small), so it is broadcast.
     """
-    fps = F.broadcast(version_fps.select(version, F.col("fingerprint").cast("string").alias("_fp")))
-    ends = version_fps.agg(
-        F.max(F.when(F.col(version) == base, F.col("fingerprint").cast("string"))).alias("_base"),
-        F.max(F.when(F.col(version) == newest, F.col("fingerprint").cast("string"))).alias("_new"),
-    ).withColumn("_k", F.lit(1))
-    j = (run_log.join(fps, run_log["data_version"] == fps[version], "left")
-         .withColumn("_k", F.lit(1)).join(F.broadcast(ends), "_k", "left"))
+    fp = F.col("fingerprint").cast("string")
+    every = Window.partitionBy()  # over the version table: one row per version
+    fps = version_fps.select(
+        version, fp.alias("_fp"),
+        F.max(F.when(F.col(version) == base, fp)).over(every).alias("_base"),
+        F.max(F.when(F.col(version) == newest, fp)).over(every).alias("_new"))
+    j = run_log.join(F.broadcast(fps), run_log["data_version"] == fps[version], "left")
     rec = F.col("data_fingerprint")
     verdict = (F.when(rec.isNull(), "not recorded").when(rec == F.col("_fp"), "match").otherwise("differs"))
     return j.select(

@@ -108,11 +108,13 @@ def threshold_sweep(df: DataFrame, y: str = "y", p: str = "p", lo: float = 0.10,
     idx = F.least(F.greatest(idx, F.lit(-1)), F.lit(n - 1))
     per = st.groupBy(idx.alias("i")).agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     grid = spark.range(n).select(F.col("id").cast("int").alias("i"))
-    totals = per.agg(F.sum("pos").alias("_P"), F.sum("neg").alias("_N")).withColumn("_k", F.lit(1))
-    g = grid.join(per, "i", "left").na.fill(0, ["pos", "neg"])
+    # grid + the "below every threshold" bucket -1: at most n + 1 rows, so the
+    # windows below run on a bounded table
+    g = grid.join(per, "i", "full_outer").na.fill(0, ["pos", "neg"])
+    every = Window.partitionBy()
     suffix = Window.orderBy(F.col("i").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    g = g.withColumn("tp", F.sum("pos").over(suffix)).withColumn("fp", F.sum("neg").over(suffix)) \
-        .withColumn("_k", F.lit(1)).join(F.broadcast(totals), "_k")
+    g = g.withColumns({"tp": F.sum("pos").over(suffix), "fp": F.sum("neg").over(suffix),
+                       "_P": F.sum("pos").over(every)}).filter(F.col("i") >= 0)
     tp, fp = F.col("tp"), F.col("fp")
     fn = F.col("_P") - tp
     return g.select(

@@ -42,14 +42,9 @@ def delay_summary(df: DataFrame, flag: str = "is_significant_delay", minutes: st
     a group's values in one buffer.  NULL for a group without positives.
     """
     counts = value_counts_table(df.filter(F.col(flag) == 1), minutes, by)
-    simple = counts.groupBy(*by).agg(
-        (F.sum(F.col(minutes) * F.col("_c")) / F.sum("_c")).alias("mean_delay"),
-        F.max(minutes).alias("max_delay"))
-    qs = quantiles_from_counts(counts, minutes, [0.5, 0.95], by, ["median_delay", "p95_delay"],
-                               broadcast_offsets=broadcast_groups)
-    if by:
-        return simple.join(qs, list(by), "left")
-    return simple.withColumn("_k", F.lit(1)).join(qs.withColumn("_k", F.lit(1)), "_k", "left").drop("_k")
+    extra = {"mean_delay": F.sum(F.col(minutes) * F.col("_c")) / F.sum("_c"), "max_delay": F.max(minutes)}
+    return quantiles_from_counts(counts, minutes, [0.5, 0.95], by, ["median_delay", "p95_delay"],
+                                 broadcast_offsets=broadcast_groups, extra_aggs=extra)
 
 
 def null_profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:

@@ -54,7 +54,8 @@ def value_buckets(df: DataFrame, value: str, n: int = 64, accuracy: int = 10000)
 def running_totals(df: DataFrame, group_cols: Sequence[str], bucket: Column,
                    order_by: Sequence[Column | str], sum_cols: Sequence[str] = (),
                    rank_col: str = "rank", prefix: str = "cum_", descending: bool = False,
-                   broadcast_offsets: bool = True, group_size_col: str | None = None) -> DataFrame:
+                   broadcast_offsets: bool = True, group_size_col: str | None = None,
+                   total_prefix: str | None = None) -> DataFrame:
     """Exact 1-based ``rank_col`` (row number) and inclusive running sums
     ``prefix + c`` within each group, in the order ``(bucket, *order_by)``.
 
@@ -62,7 +63,9 @@ def running_totals(df: DataFrame, group_cols: Sequence[str], bucket: Column,
     ``descending``).  ``order_by`` should be a total order for a
     deterministic row number.  ``broadcast_offsets`` is safe when the number
     of groups is bounded (the offset table has groups x buckets rows).
-    ``group_size_col`` adds the row count of the whole group.
+    ``group_size_col`` adds the row count of the whole group and
+    ``total_prefix`` the group total of every summed column; both come from
+    the small offset table, so no extra join or pass over the data.
     """
     g = list(group_cols)
     b = df.withColumn("_bkt", bucket)
@@ -74,7 +77,9 @@ def running_totals(df: DataFrame, group_cols: Sequence[str], bucket: Column,
         *g, "_bkt",
         F.coalesce(F.sum("_bn").over(wo), F.lit(0)).alias("_on"),
         *[F.coalesce(F.sum(f"_bs_{c}").over(wo), F.lit(0)).alias(f"_os_{c}") for c in sum_cols],
-        *([F.sum("_bn").over(Window.partitionBy(*g)).alias(group_size_col)] if group_size_col else []))
+        *([F.sum("_bn").over(Window.partitionBy(*g)).alias(group_size_col)] if group_size_col else []),
+        *([F.sum(f"_bs_{c}").over(Window.partitionBy(*g)).alias(f"{total_prefix}{c}") for c in sum_cols]
+          if total_prefix else []))
     orders = [F.col(c) for c in order_by] if order_by and isinstance(order_by[0], str) else list(order_by)
     wl = Window.partitionBy(*g, "_bkt").orderBy(*orders)
     wl_rows = wl.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -106,22 +111,18 @@ def value_counts_table(df: DataFrame, value: str, group_cols: Sequence[str] = ()
 
 def quantiles_from_counts(counts: DataFrame, value: str, qs: Sequence[float], group_cols: Sequence[str] = (),
                           names: Sequence[str] | None = None, n_buckets: int = 64,
-                          broadcast_offsets: bool = True) -> DataFrame:
+                          broadcast_offsets: bool = True, extra_aggs: dict | None = None) -> DataFrame:
     """Exact quantiles (linear interpolation between the two neighbouring
     ranks, as pandas' default and DuckDB's ``quantile_cont``) from a
     ``value_counts_table``.  The value at 0-based rank r is the distinct
-    value whose cumulative count range covers r."""
+    value whose cumulative count range covers r.  ``extra_aggs`` (name ->
+    aggregate over the count rows) are computed in the same aggregation."""
     g = list(group_cols)
     names = list(names or [f"q{int(round(q * 100))}" for q in qs])
     bucket = value_buckets(counts, value, n_buckets)
-    ranked = running_totals(counts, g, bucket, [value], ["_c"], rank_col="_r", prefix="_cum",
-                            broadcast_offsets=broadcast_offsets)
-    totals = counts.groupBy(*g).agg(F.sum("_c").alias("_N"))
-    if not g:  # one-row totals: equi-join on a constant key (broadcast hash join)
-        ranked, totals, g_join = ranked.withColumn("_k", F.lit(1)), totals.withColumn("_k", F.lit(1)), ["_k"]
-    else:
-        g_join = g
-    j = ranked.join(F.broadcast(totals) if broadcast_offsets or not g else totals, g_join)
+    # group totals come from the small offset table: no join with a totals row
+    j = running_totals(counts, g, bucket, [value], ["_c"], rank_col="_r", prefix="_cum",
+                       broadcast_offsets=broadcast_offsets, total_prefix="_tot").withColumnRenamed("_tot_c", "_N")
     aggs = []
     for q, name in zip(qs, names):
         pos = F.lit(float(q)) * (F.col("_N") - 1)
@@ -129,8 +130,10 @@ def quantiles_from_counts(counts: DataFrame, value: str, qs: Sequence[float], gr
             covers = (F.col("_cum_c") - F.col("_c") <= r) & (r <= F.col("_cum_c") - 1)
             aggs.append(F.min(F.when(covers, F.col(value))).alias(f"_{name}_{side}"))
         aggs.append(F.first(pos - F.floor(pos)).alias(f"_{name}_frac"))
+    extra_aggs = extra_aggs or {}
+    aggs += [c.alias(n) for n, c in extra_aggs.items()]
     agg = j.groupBy(*g).agg(*aggs) if g else j.agg(*aggs)
-    outs = [F.col(c) for c in g]
+    outs = [F.col(c) for c in g] + [F.col(n) for n in extra_aggs]
     for name in names:
         lo, hi, fr = (F.col(f"_{name}_lo").cast("double"), F.col(f"_{name}_hi").cast("double"),
                       F.col(f"_{name}_frac"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from contrail.operators import dedup, lineage, profile
@@ -158,12 +159,12 @@ FROM log LEFT JOIN fp f ON log.data_version = f.version""")
 def lineage_check(spark, d):
     fps = lineage.fingerprint(fx.dataset_versions(spark, d), FP_COLS, by=["version"])
     fp_txt = F.col("fingerprint").cast("string")
-    v0 = fps.agg(F.max(F.when(F.col("version") == "v0", fp_txt)).alias("_v0")).withColumn("_k", F.lit(1))
-    log = (fps.withColumn("_k", F.lit(1)).join(F.broadcast(v0), "_k").select(
+    v0 = F.max(F.when(F.col("version") == "v0", fp_txt)).over(Window.partitionBy())  # one row per version
+    log = fps.select(
         F.concat(F.lit("run-"), F.col("version")).alias("run_id"),
         F.col("version").alias("data_version"),
         F.when(F.col("version") == "v2", F.lit(None).cast("string"))
-        .when(F.col("version") == "v1", F.col("_v0")).otherwise(fp_txt).alias("data_fingerprint")))
+        .when(F.col("version") == "v1", v0).otherwise(fp_txt).alias("data_fingerprint"))
     return lineage.lineage_check(log, fps, base="v0", newest="v2")
 
 

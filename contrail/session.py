@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -55,11 +56,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
-def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder.
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Materialize ``df`` as a Parquet table in the shared checkpoint folder
+    and continue from that table.
 
-    Used between long chains of dependent steps (sequential relabel rules)
-    so a lost executor recomputes from the checkpoint, not the whole chain.
+    Used between dependent steps (sequential relabel rules, a count table
+    read twice) so later work - and a lost executor - starts from the
+    written table instead of recomputing the chain.  One pass writes it
+    (``Dataset.checkpoint`` would compute an unpersisted input twice), and
+    the read back is a columnar scan with column pruning.
     """
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)
+    spark = df.sparkSession
+    path = os.path.join(checkpoint_dir(spark), f"contrail-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

@@ -190,7 +190,7 @@ def label_violations(spark, d):
 
 
 @query("top_n_per_group", ("D4",), sql=with_views("runs") + """
-SELECT experiment, run_id, start_time, rn AS run_rank FROM (
+SELECT experiment, run_id, start_time, CAST(rn AS INTEGER) AS run_rank FROM (
   SELECT *, row_number() OVER (PARTITION BY experiment ORDER BY start_time DESC, run_id DESC) AS rn FROM runs) x
 WHERE rn <= 50""")
 def top_n_per_group(spark, d):

@@ -15,6 +15,9 @@ from contrail.sources.tables import DRIVER_TABLES, table_path
 from conftest import SF_SMALL
 
 NAMES = sorted(entry.queries())
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "date": "DATE",
+                 "decimal(38,0)": "DECIMAL(38,0)"}
 
 
 @pytest.fixture(scope="module")
@@ -49,3 +52,6 @@ def test_query_matches_oracle(spark, con, name):
     o_rows = cur.fetchall()
     assert sorted(df.columns) == sorted(o_cols)
     assert rows_of(df.columns, s_rows) == rows_of(o_cols, o_rows)
+    o_types = {r[0]: r[1] for r in con.execute(f"DESCRIBE {sql}").fetchall()}
+    for col, t in df.dtypes:
+        assert SPARK_TO_DUCK.get(t, t) == o_types[col], (col, t, o_types[col])

@@ -116,3 +116,26 @@ def test_compare_versions_reason_union_with_zero(spark):
 def test_distinct_versions_keeps_earliest(spark):
     st = spark.createDataFrame([("v0", 5, "a"), ("v1", 5, "b"), ("v2", 5, "b")], "version string, n int, fp string")
     assert sorted(r.version for r in dedup.distinct_versions(st, ["n", "fp"]).collect()) == ["v0", "v1"]
+
+
+# --- fixed values: published reason counts before and after the rule edits --
+REASONS_OLD = {"airline_operations": 3404, "airport_congestion": 4567, "late_aircraft": 4079, "none": 98432,
+               "other": 1231, "security_or_border_control": 1237, "technical": 2098, "weather": 5312}
+REASONS_NEW = {"airline_operations": 3643, "airport_congestion": 6988, "late_aircraft": 7588, "none": 76099,
+               "other": 1231, "security_or_border_control": 1237, "technical": 2515, "weather": 21059}
+
+
+def test_compare_versions_golden_counts(spark):
+    rows = [(v, r, n) for v, counts in (("old", REASONS_OLD), ("new", REASONS_NEW)) for r, n in counts.items()]
+    df = spark.createDataFrame(rows, "version string, delay_reason string, n int") \
+        .withColumn("_i", F.explode(F.sequence(F.lit(1), F.col("n")))) \
+        .withColumn("is_significant_delay", (F.col("delay_reason") != "none").cast("int")) \
+        .withColumn("delay_minutes", F.when(F.col("is_significant_delay") == 1, 20).otherwise(0)) \
+        .drop("_i", "n")
+    got = {r.measure: r for r in profile.compare_versions(df, "old", "new").collect()}
+    assert got["rows_total"].old_value == 120360 and got["rows_total"].delta == 0
+    assert got["positive_count"].old_value == 21928 and got["positive_count"].new_value == 44261
+    assert round(got["positive_share"].old_value * 100, 2) == 18.22
+    assert round(got["positive_share"].new_value * 100, 2) == 36.77
+    for r in REASONS_OLD:
+        assert got[f"reason:{r}"].delta == REASONS_NEW[r] - REASONS_OLD[r]

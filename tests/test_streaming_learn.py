@@ -102,3 +102,21 @@ def test_traffic_stream_equals_batch_on_closed_windows(spark):
     max_us = ev.select(F.unix_micros(F.max("ts").cast("timestamp"))).first()[0]
     closed = {k for k in batch if k + 3600 * 10**6 <= max_us}
     assert closed <= set(got)
+
+
+@pytest.mark.parametrize("kind", ["errors", "latency"])
+def test_traffic_stream_other_kinds(spark, kind):
+    ev = spark.read.parquet(os.path.join(SF_SMALL, "events.parquet"))
+    src = tempfile.mkdtemp(prefix="contrail-ev2-")
+    ev.write.parquet(os.path.join(src, "a"))
+    stream = spark.readStream.schema(ev.schema).parquet(os.path.join(src, "a"))
+    q = traffic_stream(request_log(stream), "0 seconds", "1 hour", "15 minutes", kind).writeStream \
+        .format("memory").queryName(f"t_{kind}").outputMode("append").start()
+    q.processAllAvailable()
+    q.stop()
+    got = spark.table(f"t_{kind}").collect()
+    batch_fn = traffic.error_rate if kind == "errors" else traffic.latency_quantiles
+    args = ("1 hour", "15 minutes") if kind == "errors" else ([0.5, 0.95], "1 hour", "15 minutes")
+    batch = {r.window_start: r for r in batch_fn(request_log(ev), *args).collect()}
+    for r in got:
+        assert r.n_requests == batch[r.window_start].n_requests

@@ -32,6 +32,16 @@ def parse_strict(c: Column | str) -> Column:
     return F.to_timestamp(F.regexp_replace(c, " ", "T")).cast("timestamp_ntz")
 
 
+def epoch_micros(c: Column | str, ntz: bool) -> Column:
+    """Microseconds since 1970-01-01 00:00.  For TIMESTAMP_NTZ the wall clock
+    is read as UTC without going through the session time zone, so the value
+    does not depend on ``spark.sql.session.timeZone``."""
+    c = F.col(c) if isinstance(c, str) else c
+    if ntz:
+        return F.timestamp_diff("MICROSECOND", F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'"), c)
+    return F.unix_micros(c)
+
+
 def season_of_month(month: Column) -> Column:
     return (
         F.when(month.isin(*WINTER_MONTHS), "winter")

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from contrail.functions.calendar import epoch_micros
 from contrail.functions.hashing import row_digest
 from contrail.operators.ranking import running_totals, value_buckets
 
@@ -75,7 +76,7 @@ def metric_deltas(runs: DataFrame, experiment: str = "experiment", run_id: str =
     rank - 1: an equi-join on unique keys, balanced however large a series is.
     """
     long = runs.select(experiment, run_id, start, F.explode(metrics).alias("metric", "value")) \
-        .withColumn("_t", F.unix_micros(F.col(start).cast("timestamp")))
+        .withColumn("_t", epoch_micros(F.col(start), dict(runs.dtypes)[start] == "timestamp_ntz"))
     g = [experiment, "metric"]
     ranked = running_totals(long, g, value_buckets(long, "_t"), ["_t", run_id], rank_col="_r",
                             broadcast_offsets=False)

@@ -15,6 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from contrail.functions.calendar import epoch_micros
 from contrail.functions.bands import ERROR_SHARE_STEPS, LATENCY_P95_STEPS, REQUEST_RATE_STEPS, band
 
 # --- fixed values: upper bounds (seconds) of the request-duration histogram
@@ -29,12 +30,16 @@ def _windowed(df: DataFrame, ts: str, length: str, slide: str | None, by: Sequen
     return df.groupBy(w.alias("w"), *by)
 
 
-def _start_us() -> Column:
-    return F.unix_micros(F.col("w.start").cast("timestamp"))
+def _is_ntz(df: DataFrame, ts: str) -> bool:
+    return dict(df.dtypes)[ts] == "timestamp_ntz"
 
 
-def _seconds() -> Column:
-    return (F.unix_micros(F.col("w.end").cast("timestamp")) - _start_us()) / F.lit(1e6)
+def _start_us(ntz: bool) -> Column:
+    return epoch_micros(F.col("w.start"), ntz)
+
+
+def _seconds(ntz: bool) -> Column:
+    return (epoch_micros(F.col("w.end"), ntz) - _start_us(ntz)) / F.lit(1e6)
 
 
 def histogram_quantile(q: float, cum_counts: Sequence[Column], bounds: Sequence[float], total: Column) -> Column:
@@ -59,20 +64,22 @@ def histogram_quantile(q: float, cum_counts: Sequence[Column], bounds: Sequence[
 def request_rate(df: DataFrame, length: str = "1 minute", slide: str | None = "15 seconds",
                  by: Sequence[str] = (), ts: str = "ts") -> DataFrame:
     """Requests per second in each sliding window, optionally per key."""
+    ntz = _is_ntz(df, ts)
     g = _windowed(df, ts, length, slide, by).agg(F.count(F.lit(1)).alias("n_requests"))
-    return g.select(_start_us().alias("window_start"), *by, "n_requests",
-                    (F.col("n_requests") / _seconds()).alias("rate"))
+    return g.select(_start_us(ntz).alias("window_start"), *by, "n_requests",
+                    (F.col("n_requests") / _seconds(ntz)).alias("rate"))
 
 
 def error_rate(df: DataFrame, length: str = "5 minutes", slide: str | None = "15 seconds",
                status: str = "status", ts: str = "ts") -> DataFrame:
     """Share of 4xx/5xx requests; the denominator rate is clamped to
     0.001 requests/s (W4)."""
+    ntz = _is_ntz(df, ts)
     g = _windowed(df, ts, length, slide, []).agg(
         F.count(F.lit(1)).alias("n_requests"), F.count_if(F.col(status).isin(*ERROR_STATUS)).alias("n_errors"))
-    sec = _seconds()
+    sec = _seconds(ntz)
     share = (F.col("n_errors") / sec) / F.greatest(F.col("n_requests") / sec, F.lit(MIN_RATE))
-    return g.select(_start_us().alias("window_start"), "n_requests", "n_errors", share.alias("error_share"))
+    return g.select(_start_us(ntz).alias("window_start"), "n_requests", "n_errors", share.alias("error_share"))
 
 
 def latency_quantiles(df: DataFrame, qs: Sequence[float] = (0.95,), length: str = "5 minutes",
@@ -86,7 +93,7 @@ def latency_quantiles(df: DataFrame, qs: Sequence[float] = (0.95,), length: str
     g = _windowed(df, ts, length, slide, by).agg(F.count(F.lit(1)).alias("n_requests"), *aggs)
     cums = [F.col(f"_le{i}") for i in range(len(bounds))]
     outs = [histogram_quantile(q, cums, bounds, F.col("n_requests")).alias(f"p{int(round(q * 100))}") for q in qs]
-    return g.select(_start_us().alias("window_start"), *by, "n_requests", *outs)
+    return g.select(_start_us(_is_ntz(df, ts)).alias("window_start"), *by, "n_requests", *outs)
 
 
 def metric_bands(df: DataFrame, length: str = "1 hour", slide: str | None = "15 minutes",
@@ -96,12 +103,13 @@ def metric_bands(df: DataFrame, length: str = "1 hour", slide: str | None = "15
     aggs = [F.count_if(F.col(duration) <= F.lit(float(b))).alias(f"_le{i}") for i, b in enumerate(DURATION_BUCKETS)]
     g = _windowed(df, ts, length, slide, []).agg(
         F.count(F.lit(1)).alias("n_requests"), F.count_if(F.col(status).isin(*ERROR_STATUS)).alias("n_errors"), *aggs)
-    sec = _seconds()
+    ntz = _is_ntz(df, ts)
+    sec = _seconds(ntz)
     rate = F.col("n_requests") / sec
     share = (F.col("n_errors") / sec) / F.greatest(rate, F.lit(MIN_RATE))
     p95 = histogram_quantile(0.95, [F.col(f"_le{i}") for i in range(len(DURATION_BUCKETS))], DURATION_BUCKETS,
                              F.col("n_requests"))
-    out = g.select(_start_us().alias("window_start"), rate.alias("rate"), share.alias("error_share"),
+    out = g.select(_start_us(ntz).alias("window_start"), rate.alias("rate"), share.alias("error_share"),
                    p95.alias("p95"))
     return out.withColumns({
         "rate_band": band("rate", *REQUEST_RATE_STEPS),

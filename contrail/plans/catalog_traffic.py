@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from contrail.functions.calendar import epoch_micros
 from contrail.operators import traffic
 from contrail.operators.ranking import exact_quantiles
 from contrail.plans.oracle_views import with_views
@@ -91,7 +92,7 @@ SELECT epoch_us(ws) AS window_start, round(quantile_cont(duration, 0.95), 8) AS
 def latency_p95_exact(spark, d):
     r = fx.requests(spark, d)
     per_window = r.select(F.window("ts", LENGTH, SLIDE).alias("w"), "duration").select(
-        F.unix_micros(F.col("w.start").cast("timestamp")).alias("window_start"), "duration")
+        epoch_micros(F.col("w.start"), ntz=True).alias("window_start"), "duration")
     # windows grow with the time range: no broadcast of per-window tables
     q = exact_quantiles(per_window, "duration", [0.95], ["window_start"], ["p95"], broadcast_offsets=False)
     # durations have 5 decimals and the interpolation weight 2, so the exact

@@ -76,31 +76,39 @@ def class_distribution(df: DataFrame, actual: str = "actual", predicted: str = "
     ).withColumnRenamed("cls", "class")
 
 
-def version_stats(df: DataFrame, version: str = "version", flag: str = "is_significant_delay",
-                  minutes: str = "delay_minutes") -> DataFrame:
-    """G1 and G3 per dataset version (G7), from one pass over the rows.
-
-    Rows are reduced to counts per (version, flag, minutes) - a partial
-    aggregate the size of the value domain - and written once to the
-    checkpoint folder; the per-version totals and the exact quantiles of the
-    positives both read that table.  Versions are few, so the small
-    per-version tables are broadcast."""
+def _version_counts(df: DataFrame, version: str, flag: str, minutes: str, extra: Sequence[str] = ()) -> DataFrame:
+    """Rows counted per (version, flag, minutes, *extra) - a partial aggregate
+    the size of the value domain - written once to the checkpoint folder."""
     from contrail.session import cut_lineage
 
-    counts = cut_lineage(df.groupBy(version, flag, minutes).agg(F.count(F.lit(1)).alias("_c")))
+    return cut_lineage(df.groupBy(version, flag, minutes, *extra).agg(F.count(F.lit(1)).alias("_c")))
+
+
+def _stats_from_counts(counts: DataFrame, version: str, flag: str, minutes: str) -> DataFrame:
     fc = F.col(flag) * F.col("_c")
     base = counts.groupBy(version).agg(
         F.sum("_c").alias("rows_total"),
         F.sum(fc).cast("bigint").alias("positive_count"),
         (F.sum(fc) / F.sum(F.when(F.col(flag).isNotNull(), F.col("_c")))).alias("positive_share"),
     )
-    pos = counts.filter((F.col(flag) == 1) & F.col(minutes).isNotNull()).drop(flag)
+    pos = counts.filter((F.col(flag) == 1) & F.col(minutes).isNotNull()) \
+        .groupBy(version, minutes).agg(F.sum("_c").alias("_c"))
     extra = {"mean_delay": F.sum(F.col(minutes) * F.col("_c")) / F.sum("_c"), "max_delay": F.max(minutes)}
     summary = quantiles_from_counts(pos, minutes, [0.5, 0.95], [version], ["median_delay", "p95_delay"],
                                     extra_aggs=extra)
     return base.join(F.broadcast(summary), version, "left")
 
 
+def version_stats(df: DataFrame, version: str = "version", flag: str = "is_significant_delay",
+                  minutes: str = "delay_minutes") -> DataFrame:
+    """G1 and G3 per dataset version (G7), from one pass over the rows.
+
+    Rows are reduced to counts per (version, flag, minutes) and written once;
+    the per-version totals and the exact quantiles of the positives both read
+    that table.  Versions are few, so the per-version tables are broadcast."""
+    return _stats_from_counts(_version_counts(df, version, flag, minutes), version, flag, minutes)
+
+
 MEASURES = ["rows_total", "positive_count", "positive_share", "mean_delay", "median_delay", "p95_delay"]
 
 
@@ -112,12 +120,16 @@ def compare_versions(df: DataFrame, old: str, new: str, version: str = "version"
     full outer on the reason so a reason present in one version only counts
     as 0 in the other."""
     two = df.filter(F.col(version).isin(old, new))
-    stats = version_stats(two, version)
+    # one pass: the count table also carries the reason, so the profile
+    # measures and the reason counts come from the same written table
+    counts = _version_counts(two, version, "is_significant_delay", "delay_minutes", [reason])
+    stats = _stats_from_counts(counts, version, "is_significant_delay", "delay_minutes")
     stack = "stack({n}, {pairs}) as (measure, value)".format(
         n=len(MEASURES), pairs=", ".join(f"'{m}', CAST({m} AS DOUBLE)" for m in MEASURES))
     long = stats.selectExpr(version, stack)
-    reasons = value_counts(two, reason, by=[version]).select(
-        version, F.concat(F.lit("reason:"), F.col(reason)).alias("measure"), F.col("n_rows").cast("double").alias("value"))
+    reasons = counts.filter(F.col(reason).isNotNull()).groupBy(version, reason).agg(F.sum("_c").alias("n_rows")) \
+        .select(version, F.concat(F.lit("reason:"), F.col(reason)).alias("measure"),
+                F.col("n_rows").cast("double").alias("value"))
     allm = long.unionByName(reasons)
     o = allm.filter(F.col(version) == old).select("measure", F.col("value").alias("old_value"))
     n = allm.filter(F.col(version) == new).select("measure", F.col("value").alias("new_value"))

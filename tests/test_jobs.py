@@ -50,3 +50,17 @@ def test_compare_job(spark):
     v = fx.dataset_versions(spark, SF_SMALL)
     out = jobs.compare_job(v, "v1", "v2", os.path.join(tempfile.mkdtemp(), "cmp"))
     assert all(r.delta == 0 for r in out.collect())  # v2 is a copy of v1
+
+
+def test_cli_stages(spark):
+    from contrail.__main__ import main
+
+    base = tempfile.mkdtemp(prefix="contrail-cli-")
+    clean = os.path.join(base, "clean")
+    fx.trips(spark, SF_SMALL).write.parquet(clean)
+    assert main(["relabel", "--input", clean, "--out", os.path.join(base, "v1"), "--rules", "v1"], spark) == 0
+    assert main(["compare", "--old", clean, "--new", os.path.join(base, "v1"), "--out",
+                 os.path.join(base, "cmp")], spark) == 0
+    cmp = {r.measure: r for r in spark.read.parquet(os.path.join(base, "cmp")).collect()}
+    assert cmp["positive_count"].delta > 0 and cmp["rows_total"].delta == 0
+    assert main(["profile", "--input", clean, "--out", os.path.join(base, "stats")], spark) == 0

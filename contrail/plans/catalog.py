@@ -1,23 +1,10 @@
-"""All registered queries; importing this module fills the registry."""
+"""All registered queries; importing the catalog modules fills the registry."""
 
 from __future__ import annotations
 
-from contrail.plans import catalog_features  # noqa: F401
+from contrail.plans import catalog_features, catalog_models, catalog_profiles, catalog_traffic  # noqa: F401
 from contrail.plans.registry import REGISTRY
 
-try:  # the remaining groups register themselves on import
-    from contrail.plans import catalog_profiles  # noqa: F401
-except ImportError:  # pragma: no cover - while a group is being written
-    pass
-try:
-    from contrail.plans import catalog_models  # noqa: F401
-except ImportError:  # pragma: no cover
-    pass
-try:
-    from contrail.plans import catalog_traffic  # noqa: F401
-except ImportError:  # pragma: no cover
-    pass
-
 FLAGSHIP = "severity_positive_share"
 
 

@@ -4,7 +4,6 @@ import json
 import os
 import tempfile
 
-
 from contrail.operators import sampling
 from contrail.plans import jobs
 from contrail.sources import fixtures as fx

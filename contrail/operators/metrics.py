@@ -48,10 +48,17 @@ def binary_metrics(df: DataFrame, y: str = "y", pred: str = "y_pred") -> DataFra
     return metrics_from_counts(confusion_binary(df, y, pred))
 
 
-def score_table(df: DataFrame, y: str = "y", p: str = "p") -> DataFrame:
-    """One row per distinct score with its positive and negative counts."""
-    return df.filter(F.col(p).isNotNull()).groupBy(p).agg(
+def score_table(df: DataFrame, y: str = "y", p: str = "p", materialize: bool = True) -> DataFrame:
+    """One row per distinct score with its positive and negative counts (a
+    partial aggregate).  It is read twice - for the bucket boundaries and
+    for the ranks - so by default it is written once to the checkpoint
+    folder instead of being recomputed from the scored rows."""
+    st = df.filter(F.col(p).isNotNull()).groupBy(p).agg(
         F.count_if(F.col(y) == 1).alias("pos"), F.count_if(F.col(y) != 1).alias("neg"))
+    if materialize:
+        from contrail.session import cut_lineage
+        st = cut_lineage(st)
+    return st
 
 
 def roc_auc(df: DataFrame, y: str = "y", p: str = "p", digits: int | None = 12) -> DataFrame:
@@ -99,7 +106,7 @@ def threshold_sweep(df: DataFrame, y: str = "y", p: str = "p", lo: float = 0.10,
     """
     spark: SparkSession = df.sparkSession
     n = math.ceil((hi + step / 2 - lo) / step)  # numpy.arange(lo, hi + step/2, step) length
-    st = score_table(df, y, p)
+    st = score_table(df, y, p, materialize=False)
     v = F.col(p)
     i0 = F.floor((v - F.lit(lo)) / F.lit(step)).cast("int")
     idx = (F.when(grid_value(i0 + 1, lo, step) <= v, i0 + 1)

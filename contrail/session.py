@@ -41,8 +41,9 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting points at shared storage and is used as is.
-    Only when it is unset (local tests) a private folder is created.
+    On a cluster this setting points at shared storage and is used as is;
+    if it is missing there, the job stops rather than write checkpoints to
+    one machine's disk.  Only in local mode (tests) is a private folder made.
     """
     sc = spark.sparkContext
     current = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
@@ -50,6 +51,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for this cluster")
     path = tempfile.mkdtemp(prefix="contrail-ckpt-")
     spark.conf.set("spark.checkpoint.dir", path)
     sc.setCheckpointDir(path)

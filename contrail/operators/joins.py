@@ -1,0 +1,27 @@
+"""Broadcast behind a size check.
+
+The planner broadcasts a scanned table when its estimated size is under
+``spark.sql.autoBroadcastJoinThreshold``; a side derived by aggregation
+(a dictionary, a per-day table, a set of picked keys) has no useful
+estimate, and AQE can only switch to a broadcast after the large side has
+already been shuffled.  Such sides are written to the checkpoint folder
+first, so their row count is a cheap metadata read, and broadcast only
+when that count is within a fixed bound; above it the join stays a
+sort-merge join.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from contrail.session import cut_lineage
+
+BROADCAST_MAX_ROWS = 2_000_000
+
+
+def small_side(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, materialize: bool = True) -> DataFrame:
+    """``df`` marked for broadcast if it has at most ``max_rows`` rows."""
+    if materialize:
+        df = cut_lineage(df)
+    return F.broadcast(df) if df.count() <= max_rows else df

@@ -123,7 +123,7 @@ SELECT flight_id, route,
     RANGE BETWEEN INTERVAL '100000' DAY PRECEDING AND INTERVAL '1' DAY PRECEDING) AS route_avg_delay_min
 FROM trips""")
 def route_history_avg(spark, d):
-    t = fx.trips(spark, d).select("flight_id", "route", "scheduled_departure_local", "delay_minutes")
+    t = fx.trips_written(spark, d, ["flight_id", "route", "scheduled_departure_local", "delay_minutes"])
     return past_mean(t, "route", "scheduled_departure_local", "delay_minutes", "route_avg_delay_min") \
         .select("flight_id", "route", "route_avg_delay_min")
 

@@ -37,7 +37,8 @@ split AS (SELECT ranked.*, CASE WHEN rk <= test_c THEN 'test' ELSE 'train' END A
 @query("stratified_split", ("T1", "T2"), sql=with_views("trips") + "," + _SPLIT_SQL + """
 SELECT flight_id, is_significant_delay, split FROM split""")
 def stratified_split(spark, d):
-    return sampling.stratified_split(fx.trips(spark, d), "is_significant_delay", "flight_id", 0.2, 42) \
+    t = fx.trips_written(spark, d, ["flight_id", "is_significant_delay"])
+    return sampling.stratified_split(t, "is_significant_delay", "flight_id", 0.2, 42) \
         .select("flight_id", "is_significant_delay", "split")
 
 
@@ -46,7 +47,8 @@ cc AS (SELECT is_significant_delay AS cls, count(*) AS n_c FROM trips GROUP BY 1
 w AS (SELECT cls, sum(n_c) OVER () / (count(*) OVER () * n_c) AS weight FROM cc)
 SELECT flight_id, is_significant_delay, weight FROM trips t LEFT JOIN w ON t.is_significant_delay = w.cls""")
 def class_weights(spark, d):
-    return sampling.balanced_weights(fx.trips(spark, d), "is_significant_delay") \
+    return sampling.balanced_weights(fx.trips_written(spark, d, ["flight_id", "is_significant_delay"]),
+                                     "is_significant_delay") \
         .select("flight_id", "is_significant_delay", "weight")
 
 
@@ -282,7 +284,7 @@ med AS (SELECT """ + ", ".join(f"quantile_cont({c}, 0.5) AS m_{c}" for c in IMPU
        + f" FROM trips WHERE {_FIT_FILTER})\nSELECT flight_id, "
        + ", ".join(f"coalesce({c}, m_{c}) AS {c}" for c in IMPUTE_COLS) + " FROM trips, med")
 def impute_median(spark, d):
-    t = fx.trips(spark, d)
+    t = fx.trips_written(spark, d, ["flight_id", "l_shipdate", *IMPUTE_COLS])
     fit = t.filter(F.pmod(F.year("l_shipdate"), F.lit(2)) == 0)
     meds = encoding.fit_medians(fit, IMPUTE_COLS)
     return encoding.impute_median(t, meds).select("flight_id", *IMPUTE_COLS)
@@ -296,7 +298,7 @@ def impute_median(spark, d):
        + " FROM trips t " + " ".join(
            f"LEFT JOIN d_{c} ON coalesce(t.{c}, 'unknown') = d_{c}.v" for c in ENCODE_COLS))
 def ordinal_encode(spark, d):
-    t = fx.trips(spark, d)
+    t = fx.trips_written(spark, d, ["flight_id", "l_shipdate", *ENCODE_COLS])
     fit = t.filter(F.pmod(F.year("l_shipdate"), F.lit(2)) == 0)
     dictionary = encoding.fit_ordinal(fit, ENCODE_COLS)
     return encoding.apply_ordinal(t, dictionary, ENCODE_COLS).select(

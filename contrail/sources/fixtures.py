@@ -95,6 +95,18 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_first(trips_raw(spark, sf_dir), list(FLIGHT_KEY), DEDUP_ORDER)
 
 
+def trips_written(spark: SparkSession, sf_dir: str, cols: list[str] | None = None) -> DataFrame:
+    """``trips`` written once to the checkpoint folder, for queries whose
+    operator reads its input in two branches (ranks + bucket totals, fit +
+    apply, per-day table + rows).  Column pruning makes the branches differ,
+    so Spark cannot reuse the shared join; without this the seven-table join
+    and its shuffles would run twice.  Only ``cols`` are written."""
+    from contrail.session import cut_lineage
+
+    t = trips(spark, sf_dir)
+    return cut_lineage(t.select(*cols) if cols else t)
+
+
 def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Binary scores with many ties: ``p`` has 50 distinct values."""
     li = read_table(spark, sf_dir, "lineitem", balance=True)

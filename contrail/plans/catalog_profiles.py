@@ -157,7 +157,10 @@ SELECT run_id, data_version,
   coalesce(f.fingerprint = (SELECT fingerprint FROM fp WHERE version = 'v2'), false) AS same_as_newest
 FROM log LEFT JOIN fp f ON log.data_version = f.version""")
 def lineage_check(spark, d):
-    fps = lineage.fingerprint(fx.dataset_versions(spark, d), FP_COLS, by=["version"])
+    from contrail.session import cut_lineage
+
+    # one row per version, read by the run log and by the check: written once
+    fps = cut_lineage(lineage.fingerprint(fx.dataset_versions(spark, d), FP_COLS, by=["version"]))
     fp_txt = F.col("fingerprint").cast("string")
     v0 = F.max(F.when(F.col("version") == "v0", fp_txt)).over(Window.partitionBy())  # one row per version
     log = fps.select(

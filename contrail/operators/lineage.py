@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from contrail.functions.calendar import epoch_micros
 from contrail.functions.hashing import row_digest
-from contrail.operators.ranking import running_totals, value_buckets
+from contrail.operators.ranking import previous_in_order
 
 
 def fingerprint(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
@@ -68,22 +68,20 @@ def log_run(spark: SparkSession, path: str, experiment: str, run_name: str,
 
 def metric_deltas(runs: DataFrame, experiment: str = "experiment", run_id: str = "run_id",
                   start: str = "start_time", metrics: str = "metrics") -> DataFrame:
-    """Change of every metric between consecutive runs of an experiment (R2).
+    """Change of every metric between consecutive runs of an experiment (R2),
+    runs ordered by (start time, run id).
 
     ``lag`` over a window partitioned by experiment would sort a whole
-    experiment in one task.  Instead each (experiment, metric) series gets an
-    exact rank from ``running_totals`` and the previous value is joined on
-    rank - 1: an equi-join on unique keys, balanced however large a series is.
+    experiment in one task; bucketing by start time alone would still put
+    every run of one busy timestamp in one task.  ``previous_in_order``
+    ranks runs inside each timestamp by run id and the timestamps of each
+    series separately, then finds predecessors by equi-joins on unique keys.
     """
     long = runs.select(experiment, run_id, start, F.explode(metrics).alias("metric", "value")) \
         .withColumn("_t", epoch_micros(F.col(start), dict(runs.dtypes)[start] == "timestamp_ntz"))
-    g = [experiment, "metric"]
-    ranked = running_totals(long, g, value_buckets(long, "_t"), ["_t", run_id], rank_col="_r",
-                            broadcast_offsets=False)
-    prev = ranked.select(*g, (F.col("_r") + 1).alias("_r"), F.col("value").alias("prev_value"))
-    return ranked.join(prev, [*g, "_r"], "left").select(
-        experiment, "metric", run_id, start, "value", "prev_value",
-        (F.col("value") - F.col("prev_value")).alias("delta"))
+    prev = previous_in_order(long, [experiment, "metric"], "_t", run_id, ["value"])
+    return prev.select(experiment, "metric", run_id, start, "value", F.col("prev_value"),
+                       (F.col("value") - F.col("prev_value")).alias("delta"))
 
 
 def lineage_check(run_log: DataFrame, version_fps: DataFrame, base: str, newest: str,

@@ -36,6 +36,21 @@ def hash_buckets(md5_hex: Column, bits: int = 16) -> Column:
     return F.shiftright(hex60(md5_hex), 60 - bits)
 
 
+def order_number(df: DataFrame, col: str) -> Column:
+    """A double that never decreases along the natural order of ``col``:
+    the value itself for numbers, the first 6 bytes for text (byte order),
+    epoch seconds for timestamps."""
+    t = dict(df.dtypes)[col]
+    c = F.col(col)
+    if t in ("string",):
+        return F.conv(F.hex(F.substring(F.encode(c, "UTF-8"), 1, 6)), 16, 10).cast("double") * \
+            F.pow(F.lit(256.0), F.lit(6) - F.least(F.length(F.encode(c, "UTF-8")), F.lit(6)))
+    if t.startswith("timestamp") or t == "date":
+        return F.unix_seconds(c.cast("timestamp")).cast("double") if t != "timestamp_ntz" else \
+            F.timestamp_diff("SECOND", F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'"), c).cast("double")
+    return c.cast("double")
+
+
 def value_buckets(df: DataFrame, value: str, n: int = 64, accuracy: int = 10000) -> Column:
     """Bucket index of ``value`` between approximate quantile boundaries.
 
@@ -43,9 +58,9 @@ def value_buckets(df: DataFrame, value: str, n: int = 64, accuracy: int = 10000)
     data).  Monotone in ``value``; NULL goes to bucket -1.
     """
     probs = [i / n for i in range(1, n)]
-    row = df.agg(F.percentile_approx(F.col(value).cast("double"), probs, accuracy).alias("b")).first()
+    v = order_number(df, value)
+    row = df.agg(F.percentile_approx(v, probs, accuracy).alias("b")).first()
     bounds = sorted(set(row["b"] or [])) if row else []
-    v = F.col(value).cast("double")
     if not bounds:
         return F.when(v.isNull(), F.lit(-1)).otherwise(F.lit(0))
     arr = F.array(*[F.lit(float(b)) for b in bounds])
@@ -159,3 +174,40 @@ def exact_quantiles(df: DataFrame, value: str, qs: Sequence[float], group_cols:
     with ``running_totals``."""
     counts = value_counts_table(df, value, group_cols, materialize)
     return quantiles_from_counts(counts, value, qs, group_cols, names, n_buckets, broadcast_offsets)
+
+
+def previous_in_order(df: DataFrame, group_cols: Sequence[str], order_col: str, tie_col: str,
+                      value_cols: Sequence[str], prefix: str = "prev_") -> DataFrame:
+    """For every row, the values of the row just before it within its group
+    in the order ``(order_col, tie_col)`` - a ``lag`` that stays balanced when
+    a group, or a single ``order_col`` value inside a group, holds a third of
+    all rows.  ``tie_col`` must be unique inside (group, order value).
+
+    1. rows are ranked inside (group, order value) by ``tie_col`` - the tie
+       values are distinct, so a hot order value splits into buckets;
+    2. the distinct order values of each group (one row each, carrying the
+       last row's values) are ranked by ``order_col``;
+    3. the predecessor is the previous row of the same order value, or for
+       the first row the last row of the previous order value - both found by
+       equi-joins on unique keys.  The per-order-value table is written and
+       broadcast only under the row bound.
+    """
+    from contrail.operators.joins import small_side
+
+    g = list(group_cols)
+    gt = g + [order_col]
+    within = running_totals(df, gt, value_buckets(df, tie_col), [tie_col], rank_col="_ri",
+                            group_size_col="_nt", broadcast_offsets=False)
+    lasts = within.filter(F.col("_ri") == F.col("_nt")).select(
+        *gt, *[F.col(c).alias(f"_l_{c}") for c in value_cols])
+    ranked_t = running_totals(lasts, g, value_buckets(lasts, order_col), [order_col], rank_col="_rt",
+                              broadcast_offsets=False)
+    prev_t = ranked_t.select(*g, (F.col("_rt") + 1).alias("_rt"),
+                             *[F.col(f"_l_{c}").alias(f"_pt_{c}") for c in value_cols])
+    per_t = small_side(ranked_t.select(*gt, "_rt").join(prev_t, g + ["_rt"], "left").drop("_rt"))
+    prev_in = within.select(*gt, (F.col("_ri") + 1).alias("_ri"), *[F.col(c).alias(f"_pw_{c}") for c in value_cols])
+    out = within.join(prev_in, gt + ["_ri"], "left").join(per_t, gt, "left")
+    return out.select(
+        *df.columns,
+        *[F.when(F.col("_ri") == 1, F.col(f"_pt_{c}")).otherwise(F.col(f"_pw_{c}")).alias(f"{prefix}{c}")
+          for c in value_cols])

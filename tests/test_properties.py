@@ -38,3 +38,18 @@ def test_exact_quantile_equals_numpy(spark, rows, q):
         groups.setdefault(g or "", []).append(o)
     for g, vals in groups.items():
         assert got[g] == pytest.approx(float(np.quantile(vals, q)), abs=1e-9)
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=st.lists(st.tuples(st.sampled_from(["e1", "e1", "e2"]), st.sampled_from([5, 5, 5, 7, 9]),
+                               st.integers(-100, 100)), min_size=1, max_size=80),
+       text_ids=st.booleans())
+def test_previous_in_order_equals_lag(spark, rows, text_ids):
+    from contrail.operators.ranking import previous_in_order
+
+    data = [(g, t, (f"r{i:04d}" if text_ids else i), v) for i, (g, t, v) in enumerate(rows)]
+    schema = f"g string, t int, rid {'string' if text_ids else 'int'}, v int"
+    df = spark.createDataFrame(data, schema)
+    got = previous_in_order(df, ["g"], "t", "rid", ["v"]).select("rid", "prev_v")
+    ref = df.select("rid", F.lag("v").over(Window.partitionBy("g").orderBy("t", "rid")).alias("prev_v"))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, ref.collect()))

@@ -189,15 +189,19 @@ def previous_in_order(df: DataFrame, group_cols: Sequence[str], order_col: str,
        last row's values) are ranked by ``order_col``;
     3. the predecessor is the previous row of the same order value, or for
        the first row the last row of the previous order value - both found by
-       equi-joins on unique keys.  The per-order-value table is written and
-       broadcast only under the row bound.
+       equi-joins on unique keys.  The ranked rows and the per-order-value
+       table are written once; the latter is broadcast only under the row
+       bound.
     """
     from contrail.operators.joins import small_side
 
     g = list(group_cols)
     gt = g + [order_col]
-    within = running_totals(df, gt, value_buckets(df, tie_col), [tie_col], rank_col="_ri",
-                            group_size_col="_nt", broadcast_offsets=False)
+    from contrail.session import cut_lineage
+
+    # read by four consumers (last rows, both predecessor joins, the output): written once
+    within = cut_lineage(running_totals(df, gt, value_buckets(df, tie_col), [tie_col], rank_col="_ri",
+                                        group_size_col="_nt", broadcast_offsets=False))
     lasts = within.filter(F.col("_ri") == F.col("_nt")).select(
         *gt, *[F.col(c).alias(f"_l_{c}") for c in value_cols])
     ranked_t = running_totals(lasts, g, value_buckets(lasts, order_col), [order_col], rank_col="_rt",

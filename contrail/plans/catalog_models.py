@@ -120,28 +120,28 @@ def _relabel_input(spark, d):
 @query("relabel_rules", ("A1",), sql=_relabel_sql(42, _V1_SQL_RULES))
 def relabel_rules(spark, d):
     seed, rules = sampling.RULE_SETS["v1"]
-    return sampling.relabel(_relabel_input(spark, d), rules, "flight_id", seed) \
+    return sampling.relabel(_relabel_input(spark, d), rules, "flight_id", seed, materialize_input=False) \
         .select("flight_id", "delay_minutes", "is_significant_delay", "delay_reason", "relabel_rule")
 
 
 @query("relabel_rules_v2", ("A1",), sql=_relabel_sql(7, _V2_SQL_RULES))
 def relabel_rules_v2(spark, d):
     seed, rules = sampling.RULE_SETS["v2"]
-    return sampling.relabel(_relabel_input(spark, d), rules, "flight_id", seed) \
+    return sampling.relabel(_relabel_input(spark, d), rules, "flight_id", seed, materialize_input=False) \
         .select("flight_id", "delay_minutes", "is_significant_delay", "delay_reason", "relabel_rule")
 
 
 @query("relabel_rules_v3", ("A1",), sql=_relabel_sql(13, _V3_SQL_RULES))
 def relabel_rules_v3(spark, d):
     seed, rules = sampling.RULE_SETS["v3"]
-    return sampling.relabel(_relabel_input(spark, d), rules, "flight_id", seed) \
+    return sampling.relabel(_relabel_input(spark, d), rules, "flight_id", seed, materialize_input=False) \
         .select("flight_id", "delay_minutes", "is_significant_delay", "delay_reason", "relabel_rule")
 
 
 @query("relabel_rules_v4", ("A1",), sql=_relabel_sql(19, _V4_SQL_RULES))
 def relabel_rules_v4(spark, d):
     seed, rules = sampling.RULE_SETS["v4"]
-    return sampling.relabel(_relabel_input(spark, d), rules, "flight_id", seed) \
+    return sampling.relabel(_relabel_input(spark, d), rules, "flight_id", seed, materialize_input=False) \
         .select("flight_id", "delay_minutes", "is_significant_delay", "delay_reason", "relabel_rule")
 
 

@@ -139,3 +139,29 @@ def test_compare_versions_golden_counts(spark):
     assert round(got["positive_share"].new_value * 100, 2) == 36.77
     for r in REASONS_OLD:
         assert got[f"reason:{r}"].delta == REASONS_NEW[r] - REASONS_OLD[r]
+
+
+def test_checkpoint_dir_never_local_on_a_cluster():
+    import pytest
+
+    from contrail.session import checkpoint_dir
+
+    class _Conf:
+        def get(self, key, default=None):
+            return default
+
+        def set(self, key, value):
+            raise AssertionError("must not set a local folder on a cluster")
+
+    class _Ctx:
+        master = "yarn"
+
+        def getCheckpointDir(self):
+            return None
+
+    class _Session:
+        conf = _Conf()
+        sparkContext = _Ctx()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_dir(_Session())

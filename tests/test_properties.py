@@ -53,3 +53,42 @@ def test_previous_in_order_equals_lag(spark, rows, text_ids):
     got = previous_in_order(df, ["g"], "t", "rid", ["v"]).select("rid", "prev_v")
     ref = df.select("rid", F.lag("v").over(Window.partitionBy("g").orderBy("t", "rid")).alias("prev_v"))
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, ref.collect()))
+
+
+def _split_brute(rows, fraction, seed):
+    """Python reference: ceil(f*N) test rows; train sizes by largest
+    remainder over classes (ties: smaller label, NULL first); smallest
+    md5(seed:key) per class go to test."""
+    import hashlib
+    import math
+
+    by = {}
+    for k, c in rows:
+        by.setdefault(c, []).append(k)
+    n = len(rows)
+    n_train = n - math.ceil(fraction * n)
+    cont = {c: len(v) / n * n_train for c, v in by.items()}
+    base = {c: math.floor(x) for c, x in cont.items()}
+    need = n_train - sum(base.values())
+    order = sorted(by, key=lambda c: (-(cont[c] - base[c]), c is not None, c or ""))
+    for c in order[:need]:
+        base[c] += 1
+    out = {}
+    for c, keys in by.items():
+        ranked = sorted(keys, key=lambda k: (hashlib.md5(f"{seed}:{k}".encode()).hexdigest(), k))
+        n_test = len(keys) - base[c]
+        for i, k in enumerate(ranked):
+            out[k] = "test" if i < n_test else "train"
+    return out
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(classes=st.lists(st.sampled_from(["a", "a", "a", "b", "c", None]), min_size=1, max_size=150),
+       fraction=st.sampled_from([0.1, 0.2, 0.33]), seed=st.integers(0, 99))
+def test_stratified_split_equals_brute_force(spark, classes, fraction, seed):
+    from contrail.operators import sampling
+
+    rows = [(f"k{i}", c) for i, c in enumerate(classes)]
+    df = spark.createDataFrame(rows, "key string, cls string")
+    got = {r.key: r.split for r in sampling.stratified_split(df, "cls", "key", fraction, seed).collect()}
+    assert got == _split_brute(rows, fraction, seed)

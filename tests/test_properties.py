@@ -92,3 +92,48 @@ def test_stratified_split_equals_brute_force(spark, classes, fraction, seed):
     df = spark.createDataFrame(rows, "key string, cls string")
     got = {r.key: r.split for r in sampling.stratified_split(df, "cls", "key", fraction, seed).collect()}
     assert got == _split_brute(rows, fraction, seed)
+
+
+def _relabel_brute(rows, seed):
+    """Python reference of rule set v1 on (key, weather, visibility, airport, airline, prev, minutes)."""
+    import hashlib
+    import math
+
+    def md5(s):
+        return hashlib.md5(s.encode()).hexdigest()
+
+    def bad_weather(r):
+        w = r[1] or "unknown"
+        return w in ("fog", "snow") or (w == "rain" and False)  # no precipitation column: fill 0
+
+    preds = [("weather", lambda r: bad_weather(r) and (r[2] if r[2] is not None else 10) < 3, 0.70, 15, 45),
+             ("congestion", lambda r: (r[3] or 0) > 0.92 and (r[4] or 0) > 0.85, 0.50, 15, 35),
+             ("cascade", lambda r: (r[5] or 0) > 60, 0.60, 15, 35)]
+    minutes = {r[0]: r[6] for r in rows}
+    rule_of = {}
+    for name, pred, share, lo, hi in preds:
+        cand = [r[0] for r in rows if pred(r) and minutes[r[0]] < 15]
+        cand.sort(key=lambda k: (md5(f"{seed}:{name}:{k}"), k))
+        for k in cand[:math.floor(share * len(cand))]:
+            minutes[k] = lo + int(md5(f"{seed}:{name}:{k}:minutes")[:15], 16) % (hi - lo)
+            rule_of[k] = name
+    return {k: (minutes[k], rule_of.get(k)) for k in minutes}
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=st.lists(st.tuples(st.sampled_from(["fog", "snow", "clear", None]), st.sampled_from([None, 1.0, 5.0]),
+                               st.sampled_from([0.5, 0.95]), st.sampled_from([None, 0.9]),
+                               st.sampled_from([10.0, 70.0, None]), st.integers(0, 30)), min_size=1, max_size=120))
+def test_relabel_equals_brute_force(spark, rows):
+    from contrail.operators import sampling
+
+    data = [(f"f{i}", *r) for i, r in enumerate(rows)]
+    df = spark.createDataFrame(data, "flight_id string, weather_origin string, visibility_origin_km double, "
+                                     "airport_load_index double, airline_load_factor double, "
+                                     "previous_flight_delay_min double, delay_minutes int") \
+        .withColumn("is_significant_delay", (F.col("delay_minutes") >= 15).cast("int")) \
+        .withColumn("delay_reason", F.when(F.col("delay_minutes") >= 15, "other").otherwise("none"))
+    seed, rules = sampling.RULE_SETS["v1"]
+    got = {r.flight_id: (r.delay_minutes, r.relabel_rule)
+           for r in sampling.relabel(df, rules, "flight_id", seed).collect()}
+    assert got == _relabel_brute(data, seed)

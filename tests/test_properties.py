@@ -137,3 +137,24 @@ def test_relabel_equals_brute_force(spark, rows):
     got = {r.flight_id: (r.delay_minutes, r.relabel_rule)
            for r in sampling.relabel(df, rules, "flight_id", seed).collect()}
     assert got == _relabel_brute(data, seed)
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=st.lists(st.tuples(st.sampled_from([0.1, 0.2, 0.2, 0.5, 0.7, 0.9]), st.sampled_from([0, 1])),
+                     min_size=2, max_size=100))
+def test_average_precision_equals_step_sum(spark, rows):
+    from contrail.operators import metrics
+
+    pos_total = sum(y for _, y in rows)
+    df = spark.createDataFrame(rows, "p double, y int")
+    got = metrics.average_precision(df, digits=None).first()[0]
+    if pos_total == 0:
+        assert got is None
+        return
+    ap, cp, cn = 0.0, 0, 0
+    for t in sorted({p for p, _ in rows}, reverse=True):
+        pos = sum(1 for p, y in rows if p == t and y == 1)
+        cp += pos
+        cn += sum(1 for p, y in rows if p == t and y == 0)
+        ap += pos / pos_total * (cp / (cp + cn))
+    assert got == pytest.approx(ap, abs=1e-12)

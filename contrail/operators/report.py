@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from contrail.operators import metrics
 
 
-def _one(df: DataFrame, name: str) -> DataFrame:
-    return df.select(F.struct(*df.columns).alias(name)).withColumn("_k", F.lit(1))
+def _scalar(df: DataFrame) -> "F.Column":
+    """A one-row DataFrame as a struct-valued scalar subquery."""
+    return df.select(F.struct(*df.columns)).scalar()
 
 
 def prediction_summary(delay: DataFrame, reason: DataFrame, classes: Sequence[str],
@@ -19,22 +20,25 @@ def prediction_summary(delay: DataFrame, reason: DataFrame, classes: Sequence[st
                        actual: str = "actual", predicted: str = "predicted") -> DataFrame:
     """One row: binary metrics with ROC AUC and average precision, the binary
     confusion counts, the multiclass summary, per-class report and the k x k
-    matrix.  Each part is a small aggregate; the parts are joined on a
-    constant key (one row each), and the row is written with ``write_report``."""
+    matrix.  Each part is a small aggregate; the row is assembled from scalar
+    subqueries (no joins), and written with ``write_report``."""
     b = metrics.binary_metrics(delay, y, pred)
     auc = metrics.roc_auc(delay, y, p)
     ap = metrics.average_precision(delay, y, p)
-    bin_part = (b.withColumn("_k", F.lit(1)).join(auc.withColumn("_k", F.lit(1)), "_k")
-                .join(ap.withColumn("_k", F.lit(1)), "_k").drop("_k"))
     rep = metrics.class_report(reason, actual, predicted)
-    per_class = rep.agg(F.sort_array(F.collect_list(F.struct(*rep.columns))).alias("per_class")) \
-        .withColumn("_k", F.lit(1))
+    per_class = rep.agg(F.sort_array(F.collect_list(F.struct(*rep.columns))).alias("per_class"))
     cm = metrics.confusion_matrix(reason, classes, actual, predicted)
-    cm_rows = cm.agg(F.collect_list(F.struct(
+    matrix = cm.agg(F.collect_list(F.struct(
         F.col(actual).alias("actual"),
-        F.create_map(*[x for c in classes for x in (F.lit(c), F.col(f"`{c}`"))]).alias("counts"))).alias("matrix")) \
-        .withColumn("_k", F.lit(1))
+        F.create_map(*[x for c in classes for x in (F.lit(c), F.col(f"`{c}`"))]).alias("counts"))).alias("matrix"))
     summ = metrics.multiclass_summary(reason, actual, predicted)
-    out = (_one(bin_part, "delay").join(_one(summ, "reason"), "_k")
-           .join(per_class, "_k").join(cm_rows, "_k").drop("_k"))
-    return out
+    delay_part = F.struct(_scalar(b).alias("b"), auc.select("roc_auc").scalar().alias("roc_auc"),
+                          ap.select("average_precision").scalar().alias("average_precision"))
+    flat = F.struct(*[delay_part.getField("b").getField(c).alias(c) for c in b.columns],
+                    delay_part.getField("roc_auc").alias("roc_auc"),
+                    delay_part.getField("average_precision").alias("average_precision"))
+    spark = delay.sparkSession
+    return spark.range(1).select(
+        flat.alias("delay"), _scalar(summ).alias("reason"),
+        per_class.select("per_class").scalar().alias("per_class"),
+        matrix.select("matrix").scalar().alias("matrix"))

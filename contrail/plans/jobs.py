@@ -36,18 +36,21 @@ def profile_job(spark: SparkSession, df: DataFrame, out: str, source_path: str |
                 key: str = "flight_id") -> DataFrame:
     """One nested row: file facts, rows, duplicates, positives, reason counts,
     delay summary and the content fingerprint; written as JSON."""
-    k = lambda d: d.withColumn("_k", F.lit(1))  # noqa: E731 - one-row parts joined on a constant key
     stats = profile.dataset_stats(df, key)
     reasons = profile.value_counts(df, TARGET_REASON).agg(
-        F.map_from_entries(F.collect_list(F.struct(TARGET_REASON, "n_rows"))).alias("delay_reason_counts"))
+        F.map_from_entries(F.collect_list(F.struct(TARGET_REASON, "n_rows"))).alias("m"))
     summary = profile.delay_summary(df)
     fp = lineage.fingerprint(df, [c for c in FP_COLS if c in df.columns])
-    parts = k(stats).join(k(reasons), "_k").join(k(summary.select(F.struct(*summary.columns).alias(
-        "delay_minutes_when_significant"))), "_k").join(k(fp.select(F.col("fingerprint").cast("string"))), "_k")
+    # one-row parts assembled as scalar subqueries: no joins
+    cols = [stats.select(F.struct(*stats.columns)).scalar().alias("profile"),
+            reasons.select("m").scalar().alias("delay_reason_counts"),
+            summary.select(F.struct(*summary.columns)).scalar().alias("delay_minutes_when_significant"),
+            fp.select(F.col("fingerprint").cast("string")).scalar().alias("fingerprint")]
     if source_path:
-        parts = parts.join(k(source_stats(spark, source_path).select(F.struct("n_files", "size_bytes").alias("file"))),
-                           "_k")
-    report = parts.drop("_k")
+        st = source_stats(spark, source_path)
+        cols.append(st.select(F.struct("n_files", "size_bytes")).scalar().alias("file"))
+    parts = spark.range(1).select(*cols)
+    report = parts.select("profile.*", *[c for c in parts.columns if c != "profile"])
     write_report(report, out)
     return report
 

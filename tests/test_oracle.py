@@ -10,11 +10,12 @@ import pytest
 
 import __spark_entry__ as entry
 from tools.oracle_check import rows_of
+from contrail.plans import catalog
 from contrail.sources.tables import DRIVER_TABLES, table_path
 
 from conftest import SF_SMALL
 
-NAMES = sorted(entry.queries())
+NAMES = sorted(catalog.queries())
 SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
                  "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "date": "DATE",
                  "decimal(38,0)": "DECIMAL(38,0)"}
@@ -30,7 +31,7 @@ def con():
 
 
 def test_every_query_has_oracle_or_is_listed():
-    no_sql = set(entry.queries()) - set(entry.oracle_sql())
+    no_sql = set(catalog.queries()) - set(entry.oracle_sql())
     assert no_sql <= {"delay_scoring"}, no_sql
 
 

@@ -1,0 +1,79 @@
+import pytest
+
+from contrail.llm import queries, warc
+
+from helpers import SF_MID, SF_SMALL
+
+RECORDS = ("record_id bigint, url string, captured_at bigint, type string, status int, headers map<string,string>, "
+           "digest string, body string")
+
+
+@pytest.mark.parametrize("sf_dir", [SF_SMALL, SF_MID])
+def test_query_equals_sql(spark, sf_dir):
+    import duckdb
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{sf_dir}/pages.parquet'")
+    cur = con.execute(queries.ORACLE_SQL["op7_revisits"])
+    names = [c[0] for c in cur.description]
+    got = queries.op7_revisits(spark, sf_dir)
+    assert got.columns == names
+    assert sorted(map(tuple, got.collect())) == sorted(cur.fetchall())
+
+
+def row(i, at, kind, tag=None, body=None, url="http://a.b/x", status=None, digest=None, **headers):
+    head = {k.replace("_", "-"): v for k, v in headers.items()}
+    if tag:
+        head["ETag"] = tag
+    return (i, url, at, kind, status or (200 if kind == "response" else 304), head or None, digest, body)
+
+
+def resolved(spark, rows, slices=None):
+    frame = spark.createDataFrame(rows, RECORDS).selectExpr("*", "'kept' AS source_id", "'kept' AS slice", "'kept' AS h")
+    return {r["record_id"]: r for r in warc.resolve(frame, slices).collect()}
+
+
+def test_validators_and_headers(spark):
+    rows = [row(1, 10, "response", '"v1"', "one", Content_Length="3", Server="s", Date="10"),
+            row(2, 20, "revisit", 'W/"v1"', Content_Length="0", Date="20", Age="5"),
+            row(3, 30, "response", '"v2"', "two"), row(4, 40, "revisit", '"v1"'),
+            row(5, 50, "response", None, "gone", status=404), row(6, 55, "response", '"v3"', None), row(7, 60, "revisit", '"v2"'),
+            row(8, 5, "revisit", '"v1"'), row(9, 70, "revisit"), row(10, 70, "revisit", url=None), row(11, None, "revisit", '"v2"'),
+            row(12, 80, "response", None, "three", digest="d", Last_Modified="m"), row(13, 81, "revisit", digest="d"),
+            row(14, 82, "revisit", Last_Modified="m"), row(15, 83, "revisit", digest="e")]
+    for slices in (1, 3, None):
+        got = resolved(spark, rows, slices)
+        assert {i: (r["outcome"], r["source_id"], r["body"]) for i, r in got.items()} == {
+            2: ("resolved", 1, "one"), 4: ("mismatch", 3, None), 7: ("resolved", 3, "two"), 8: ("no_response", None, None),
+            9: ("unverified", 3, None), 10: ("no_response", None, None), 11: ("no_response", None, None),
+            13: ("resolved", 12, "three"), 14: ("resolved", 12, "three"), 15: ("mismatch", 12, None)}
+        assert got[2]["headers"] == {"content-length": "3", "server": "s", "date": "20", "age": "5", "etag": 'W/"v1"'}
+
+
+def test_hot_url_equals_brute_force(spark):
+    rows = [row(i, i // 3, "response" if i % 7 == 0 else "revisit", f'"{i // 50}"', f"b{i}" if i % 7 == 0 else None)
+            for i in range(400)]
+    want, last = {}, None
+    for r in sorted(rows, key=lambda r: (r[2], r[0])):
+        if r[3] == "response":
+            last = r
+        else:
+            want[r[0]] = (last[0], "resolved" if last[5] == r[5] else "mismatch")
+    for slices in (1, 17):
+        assert {i: (r["source_id"], r["outcome"]) for i, r in resolved(spark, rows, slices).items()} == want
+
+
+def test_urls(spark):
+    urls = {"HTTP://WWW.A.b:80/x/?utm_a=1&b=2&a=1#f": "a.b/x?a=1&b=2", "https://a.b": "a.b", "https://u:p@a.b/": "a.b",
+            "https://a.b/X?ref=1": "a.b/X", "a.b/c": "a.b/c", "": "", "https://m.a.b//": "m.a.b"}
+    frame = spark.createDataFrame([(u,) for u in urls], "u string")
+    assert {r[0]: r[1] for r in frame.select("u", warc.canonical_url(frame["u"])).collect()} == urls
+
+
+def test_edge_rows(spark):
+    assert resolved(spark, []) == {}
+    twice = [row(1, 1, "response", "t", "x")] * 2 + [row(2, 2, "revisit", "t")] * 3
+    frame = spark.createDataFrame(twice, RECORDS)
+    assert [tuple(r)[3:5] for r in warc.resolve(frame).collect()] == [("resolved", 1)] * 3
+    pages = spark.createDataFrame([(None, None, None), (1, None, None), (2, "u", None), (2, "u", "x" * 100000)],
+                                  "page_id bigint, url string, html string")
+    assert warc.resolve(warc.captures(pages)).filter("outcome is null").count() == 0

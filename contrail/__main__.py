@@ -3,7 +3,7 @@
 Stages (inputs are CSV with the flight schema or Parquet tables):
 
   profile    --input raw.csv --out stats_dir
-  prepare    --input raw.csv --out clean.parquet [--order-by col ...]
+  prepare    --input raw.csv --out clean.parquet --order-by col ...
   relabel    --input clean.parquet --out v.parquet --rules v1|v2|v3|v4
   featurize  --input clean.parquet --out features.parquet
   train      --input features.parquet --out models_dir --runs runs.parquet [--version v]
@@ -58,7 +58,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         seed, rules = sampling.RULE_SETS[a.rules]
         write_table(sampling.relabel(_read(spark, a.input), rules, a.key, seed), a.out)
     elif a.stage == "featurize":
-        jobs.featurize_job(_read(spark, a.input), a.out)
+        jobs.featurize_job(_read(spark, a.input), a.out, key=a.key)
     elif a.stage == "train":
         res = jobs.train_job(spark, _read(spark, a.input), a.out, a.runs or f"{a.out}/runs", a.key,
                              data_version=a.version)

@@ -10,26 +10,25 @@ WINTER_MONTHS = [12, 1, 2]
 SPRING_MONTHS = [3, 4, 5]
 SUMMER_MONTHS = [6, 7, 8]
 
+WALL_CLOCK = r"^\d{4}-\d{2}-\d{2}([ T]\d{2}:\d{2}(:\d{2})?)?$"
+
 
 def parse_lenient(c: Column | str) -> Column:
     """Text -> timestamp; unparseable text gives NULL (``errors='coerce'``).
 
-    ``try_to_timestamp`` is used because a plain cast raises under ANSI mode.
-    Accepts ``yyyy-MM-dd HH:mm[:ss]``, the ``T`` separator and bare dates.
+    Accepts ``yyyy-MM-dd HH:mm[:ss]``, the ``T`` separator and bare dates, and
+    goes straight to a wall-clock time, so the session time zone (and its gaps)
+    plays no part.
     """
     c = F.col(c) if isinstance(c, str) else c
-    text = F.regexp_replace(F.trim(c), "T", " ")
-    return F.coalesce(
-        F.try_to_timestamp(text, F.lit("yyyy-MM-dd HH:mm:ss")),
-        F.try_to_timestamp(text, F.lit("yyyy-MM-dd HH:mm")),
-        F.try_to_timestamp(text, F.lit("yyyy-MM-dd")),
-    ).cast("timestamp_ntz")
+    text = F.trim(c)
+    return F.when(F.rlike(text, F.lit(WALL_CLOCK)), text.try_cast("timestamp_ntz"))
 
 
 def parse_strict(c: Column | str) -> Column:
     """ISO text with a blank or ``T`` separator; bad text raises (ANSI)."""
     c = F.col(c) if isinstance(c, str) else c
-    return F.to_timestamp(F.regexp_replace(c, " ", "T")).cast("timestamp_ntz")
+    return c.cast("timestamp_ntz")
 
 
 def epoch_micros(c: Column | str, ntz: bool) -> Column:

@@ -47,9 +47,9 @@ def duplicate_count(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     key = F.struct(*[F.col(k) for k in keys]) if len(keys) > 1 else F.col(keys[0])
     distinct_keys = df.select(key.alias("_k")).groupBy("_k").agg(F.count(F.lit(1)).alias("_n"))
     return distinct_keys.agg(
-        F.sum("_n").cast("bigint").alias("rows_total"),
+        F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("rows_total"),
         F.count(F.lit(1)).alias("distinct_keys"),
-        (F.sum("_n") - F.count(F.lit(1))).cast("bigint").alias("duplicate_rows"),
+        F.coalesce(F.sum("_n") - F.count(F.lit(1)), F.lit(0)).cast("bigint").alias("duplicate_rows"),
     )
 
 

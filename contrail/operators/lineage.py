@@ -72,10 +72,8 @@ def metric_deltas(runs: DataFrame, experiment: str = "experiment", run_id: str =
     runs ordered by (start time, run id).
 
     ``lag`` over a window partitioned by experiment would sort a whole
-    experiment in one task; bucketing by start time alone would still put
-    every run of one busy timestamp in one task.  ``previous_in_order``
-    ranks runs inside each timestamp by run id and the timestamps of each
-    series separately, then finds predecessors by equi-joins on unique keys.
+    experiment in one task; ``previous_in_order`` runs it inside ranges of
+    (experiment, metric, start time, run id).
     """
     long = runs.select(experiment, run_id, start, F.explode(metrics).alias("metric", "value")) \
         .withColumn("_t", epoch_micros(F.col(start), dict(runs.dtypes)[start] == "timestamp_ntz"))
@@ -89,8 +87,7 @@ def lineage_check(run_log: DataFrame, version_fps: DataFrame, base: str, newest:
     """Did each run train on the data its version holds now (R3)?
 
     verdict: ``match`` / ``differs`` / ``not recorded``; and whether the
-    run's version still equals the base and the newest version.  The
-    fingerprint table has one row per version (small), so it is broadcast.
+    run's version still equals the base and the newest version.
     """
     fp = F.col("fingerprint").cast("string")
     every = Window.partitionBy()  # over the version table: one row per version
@@ -98,7 +95,7 @@ def lineage_check(run_log: DataFrame, version_fps: DataFrame, base: str, newest:
         version, fp.alias("_fp"),
         F.max(F.when(F.col(version) == base, fp)).over(every).alias("_base"),
         F.max(F.when(F.col(version) == newest, fp)).over(every).alias("_new"))
-    j = run_log.join(F.broadcast(fps), run_log["data_version"] == fps[version], "left")
+    j = run_log.join(fps, run_log["data_version"] == fps[version], "left")
     rec = F.col("data_fingerprint")
     verdict = (F.when(rec.isNull(), "not recorded").when(rec == F.col("_fp"), "match").otherwise("differs"))
     return j.select(

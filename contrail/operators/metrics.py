@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from contrail.operators.ranking import running_totals, value_buckets
+from contrail.operators.ranking import in_ranges, running_totals
 
 
 def _safe_div(num: Column, den: Column) -> Column:
@@ -48,17 +48,11 @@ def binary_metrics(df: DataFrame, y: str = "y", pred: str = "y_pred") -> DataFra
     return metrics_from_counts(confusion_binary(df, y, pred))
 
 
-def score_table(df: DataFrame, y: str = "y", p: str = "p", materialize: bool = True) -> DataFrame:
+def score_table(df: DataFrame, y: str = "y", p: str = "p") -> DataFrame:
     """One row per distinct score with its positive and negative counts (a
-    partial aggregate).  It is read twice - for the bucket boundaries and
-    for the ranks - so by default it is written once to the checkpoint
-    folder instead of being recomputed from the scored rows."""
-    st = df.filter(F.col(p).isNotNull()).groupBy(p).agg(
+    partial aggregate)."""
+    return df.filter(F.col(p).isNotNull()).groupBy(p).agg(
         F.count_if(F.col(y) == 1).alias("pos"), F.count_if(F.col(y) != 1).alias("neg"))
-    if materialize:
-        from contrail.session import cut_lineage
-        st = cut_lineage(st)
-    return st
 
 
 def roc_auc(df: DataFrame, y: str = "y", p: str = "p", digits: int | None = 12) -> DataFrame:
@@ -69,7 +63,7 @@ def roc_auc(df: DataFrame, y: str = "y", p: str = "p", digits: int | None = 12)
     positives ``cum_pos``: AUC = 1 - sum(neg * (2 cum_pos - pos)) / (2 P N).
     """
     st = score_table(df, y, p)
-    r = running_totals(st, [], value_buckets(st, p), [p], ["pos"])
+    r = running_totals(in_ranges(st, [p]), [], F.col("_bkt"), [p], ["pos"])
     s = r.agg(F.sum(F.col("neg").cast("double") * (2 * F.col("cum_pos") - F.col("pos"))).alias("_s"),
               F.sum("pos").alias("_P"), F.sum("neg").alias("_N"))
     auc = F.lit(1.0) - F.col("_s") / (F.lit(2.0) * F.col("_P").cast("double") * F.col("_N").cast("double"))
@@ -82,7 +76,7 @@ def average_precision(df: DataFrame, y: str = "y", p: str = "p", digits: int | N
     trapezoid area: sum over distinct scores (descending) of
     (pos / P) * precision at that score."""
     st = score_table(df, y, p)
-    r = running_totals(st, [], value_buckets(st, p), [F.col(p).desc()], ["pos", "neg"], descending=True)
+    r = running_totals(in_ranges(st, [p]), [], F.col("_bkt"), [F.col(p).desc()], ["pos", "neg"], descending=True)
     prec = F.col("cum_pos").cast("double") / (F.col("cum_pos") + F.col("cum_neg"))
     s = r.agg(F.sum(F.col("pos") * prec).alias("_s"), F.sum("pos").alias("_P"))
     ap = F.when(F.col("_P") == 0, F.lit(None).cast("double")).otherwise(F.col("_s") / F.col("_P"))
@@ -99,21 +93,22 @@ def threshold_sweep(df: DataFrame, y: str = "y", p: str = "p", lo: float = 0.10,
                     step: float = 0.01) -> DataFrame:
     """tp, fp, fn, precision, recall and F1 at every grid threshold (E5).
 
-    One pass over the data: each distinct score goes to the highest grid
-    index it passes (``p >= t_i``), counts are summed per index, and suffix
+    One pass over the data: each row goes straight to the highest grid
+    index its score passes (``p >= t_i``), counts are summed per index, and suffix
     sums over the (at most ~100-row) grid table give the counts at every
     threshold.  No cross join of scores and thresholds.
     """
     spark: SparkSession = df.sparkSession
     n = math.ceil((hi + step / 2 - lo) / step)  # numpy.arange(lo, hi + step/2, step) length
-    st = score_table(df, y, p, materialize=False)
     v = F.col(p)
     i0 = F.floor((v - F.lit(lo)) / F.lit(step)).cast("int")
     idx = (F.when(grid_value(i0 + 1, lo, step) <= v, i0 + 1)
            .when(grid_value(i0, lo, step) <= v, i0)
            .otherwise(i0 - 1))
     idx = F.least(F.greatest(idx, F.lit(-1)), F.lit(n - 1))
-    per = st.groupBy(idx.alias("i")).agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    # summed per index before the shuffle: at most n + 1 rows from each task
+    per = df.filter(v.isNotNull()).groupBy(idx.alias("i")).agg(
+        F.count_if(F.col(y) == 1).alias("pos"), F.count_if(F.col(y) != 1).alias("neg"))
     grid = spark.range(n).select(F.col("id").cast("int").alias("i"))
     # grid + the "below every threshold" bucket -1: at most n + 1 rows, so the
     # windows below run on a bounded table
@@ -189,5 +184,5 @@ def confusion_matrix(df: DataFrame, classes: Sequence[str], actual: str = "actua
               .groupBy(actual).pivot(predicted, list(classes)).agg(F.count(F.lit(1))))
     # the class list is the caller's parameter (k rows), not data
     labels = spark.createDataFrame([(c,) for c in classes], [actual])
-    out = labels.join(F.broadcast(counts), actual, "left")  # counts: at most k rows
+    out = labels.join(counts, actual, "left")
     return out.na.fill(0, list(classes))

@@ -12,7 +12,8 @@ from contrail.operators.ranking import quantiles_from_counts, value_counts_table
 
 def dataset_stats(df: DataFrame, key: str = "flight_id", flag: str = "is_significant_delay",
                   share_digits: int | None = 6) -> DataFrame:
-    """rows, surplus duplicate keys, positive count and share (G1), one row.
+    """rows, surplus duplicate keys, positive count and share (G1), one row
+    (zero counts and a NULL share for an empty input).
 
     The distinct-key count is a two-phase aggregate on the key (partial
     aggregation first), so a hot key costs one row per map task.
@@ -20,9 +21,9 @@ def dataset_stats(df: DataFrame, key: str = "flight_id", flag: str = "is_signifi
     per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), F.sum(flag).alias("_p"))
     share = F.sum("_p") / F.sum("_n")
     return per_key.agg(
-        F.sum("_n").cast("bigint").alias("rows_total"),
-        (F.sum("_n") - F.count(F.lit(1))).cast("bigint").alias("duplicate_keys"),
-        F.sum("_p").cast("bigint").alias("positive_count"),
+        F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("rows_total"),
+        F.coalesce(F.sum("_n") - F.count(F.lit(1)), F.lit(0)).cast("bigint").alias("duplicate_keys"),
+        F.coalesce(F.sum("_p"), F.lit(0)).cast("bigint").alias("positive_count"),
         (F.round(share, share_digits) if share_digits is not None else share).alias("positive_share"),
     )
 
@@ -33,7 +34,7 @@ def value_counts(df: DataFrame, col: str, by: Sequence[str] = (), name: str = "n
 
 
 def delay_summary(df: DataFrame, flag: str = "is_significant_delay", minutes: str = "delay_minutes",
-                  by: Sequence[str] = (), broadcast_groups: bool = True) -> DataFrame:
+                  by: Sequence[str] = ()) -> DataFrame:
     """mean / median / p95 / max of ``minutes`` among positive rows.
 
     One pass over the input: positives are reduced to counts per distinct
@@ -44,7 +45,7 @@ def delay_summary(df: DataFrame, flag: str = "is_significant_delay", minutes: st
     counts = value_counts_table(df.filter(F.col(flag) == 1), minutes, by)
     extra = {"mean_delay": F.sum(F.col(minutes) * F.col("_c")) / F.sum("_c"), "max_delay": F.max(minutes)}
     return quantiles_from_counts(counts, minutes, [0.5, 0.95], by, ["median_delay", "p95_delay"],
-                                 broadcast_offsets=broadcast_groups, extra_aggs=extra)
+                                 extra_aggs=extra)
 
 
 def null_profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
@@ -96,7 +97,7 @@ def _stats_from_counts(counts: DataFrame, version: str, flag: str, minutes: str)
     extra = {"mean_delay": F.sum(F.col(minutes) * F.col("_c")) / F.sum("_c"), "max_delay": F.max(minutes)}
     summary = quantiles_from_counts(pos, minutes, [0.5, 0.95], [version], ["median_delay", "p95_delay"],
                                     extra_aggs=extra)
-    return base.join(F.broadcast(summary), version, "left")
+    return base.join(summary, version, "left")
 
 
 def version_stats(df: DataFrame, version: str = "version", flag: str = "is_significant_delay",
@@ -105,7 +106,7 @@ def version_stats(df: DataFrame, version: str = "version", flag: str = "is_signi
 
     Rows are reduced to counts per (version, flag, minutes) and written once;
     the per-version totals and the exact quantiles of the positives both read
-    that table.  Versions are few, so the per-version tables are broadcast."""
+    that table."""
     return _stats_from_counts(_version_counts(df, version, flag, minutes), version, flag, minutes)
 
 

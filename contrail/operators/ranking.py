@@ -13,9 +13,10 @@ Rank = bucket offset + local rank.  Both parts are deterministic functions
 of the rows (no sampling-dependent partition ids), so a recomputed task
 after a lost executor yields the same numbers.
 
-Buckets come either from a uniform hash (``hash_buckets``) or from
-approximate quantiles of the order value (``value_buckets``, at most
-``n`` boundaries collected to the driver - a fixed bound).
+Buckets come either from a uniform hash (``hash_buckets``) or from Spark's
+range partitioning of the rows by the order itself (``in_ranges``), whose
+number of ranges is the session's number of shuffle partitions and which
+orders any sortable type by its whole value.
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from contrail.functions.hashing import hex60
+from contrail.session import cut_lineage
 
 
 def hash_buckets(md5_hex: Column, bits: int = 16) -> Column:
@@ -36,56 +38,32 @@ def hash_buckets(md5_hex: Column, bits: int = 16) -> Column:
     return F.shiftright(hex60(md5_hex), 60 - bits)
 
 
-def order_number(df: DataFrame, col: str) -> Column:
-    """A double that never decreases along the natural order of ``col``:
-    the value itself for numbers, the first 6 bytes for text (byte order),
-    epoch seconds for timestamps."""
-    t = dict(df.dtypes)[col]
-    c = F.col(col)
-    if t in ("string",):
-        return F.conv(F.hex(F.substring(F.encode(c, "UTF-8"), 1, 6)), 16, 10).cast("double") * \
-            F.pow(F.lit(256.0), F.lit(6) - F.least(F.length(F.encode(c, "UTF-8")), F.lit(6)))
-    if t.startswith("timestamp") or t == "date":
-        return F.unix_seconds(c.cast("timestamp")).cast("double") if t != "timestamp_ntz" else \
-            F.timestamp_diff("SECOND", F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'"), c).cast("double")
-    return c.cast("double")
+def in_ranges(df: DataFrame, order_by: Sequence[Column | str]) -> DataFrame:
+    """``df`` range-partitioned by ``order_by`` and written once, with the
+    range number ``_bkt`` (non-decreasing along the order, nulls first).
 
-
-def value_buckets(df: DataFrame, value: str, n: int = 64, accuracy: int = 10000) -> Column:
-    """Bucket index of ``value`` between approximate quantile boundaries.
-
-    Collects at most ``n - 1`` boundary values (bounded by ``n``, not by the
-    data).  Monotone in ``value``; NULL goes to bucket -1.
-    """
-    probs = [i / n for i in range(1, n)]
-    v = order_number(df, value)
-    row = df.agg(F.percentile_approx(v, probs, accuracy).alias("b")).first()
-    bounds = sorted(set(row["b"] or [])) if row else []
-    if not bounds:
-        return F.when(v.isNull(), F.lit(-1)).otherwise(F.lit(0))
-    arr = F.array(*[F.lit(float(b)) for b in bounds])
-    # number of boundaries <= v : a monotone step function of v
-    return F.when(v.isNull(), F.lit(-1)).otherwise(F.size(F.filter(arr, lambda b: b <= v)))
+    The ranges come from Spark's own sample of the order values, so equal
+    sized ranges need no statistics here; their number follows
+    ``spark.sql.shuffle.partitions``.  Written, because a second evaluation
+    might draw other ranges."""
+    return cut_lineage(df.repartitionByRange(*order_by).withColumn("_bkt", F.spark_partition_id()))
 
 
 def running_totals(df: DataFrame, group_cols: Sequence[str], bucket: Column,
                    order_by: Sequence[Column | str], sum_cols: Sequence[str] = (),
                    rank_col: str = "rank", prefix: str = "cum_", descending: bool = False,
-                   broadcast_offsets: bool = True, group_size_col: str | None = None,
-                   total_prefix: str | None = None, offsets_hook=None) -> DataFrame:
+                   group_size_col: str | None = None, total_prefix: str | None = None) -> DataFrame:
     """Exact 1-based ``rank_col`` (row number) and inclusive running sums
     ``prefix + c`` within each group, in the order ``(bucket, *order_by)``.
 
     ``bucket`` must be non-decreasing along ``order_by`` (non-increasing if
     ``descending``).  ``order_by`` should be a total order for a
-    deterministic row number.  ``broadcast_offsets`` is safe when the number
-    of groups is bounded (the offset table has groups x buckets rows).
+    deterministic row number.  The offset table has at most groups x buckets
+    rows; how it is joined is left to the planner, which knows its size.
     ``group_size_col`` adds the row count of the whole group and
     ``total_prefix`` the group total of every summed column; both come from
-    the small offset table, so no extra join or pass over the data.
-    ``offsets_hook`` may add columns to the offset table (e.g. a per-group
-    allocation computed from the group sizes); they reach every row through
-    the same broadcast join.  NULL group values are matched null-safely.
+    the small offset table, so no extra join or pass over the data.  NULL
+    group values are matched null-safely.
     """
     g = list(group_cols)
     b = df.withColumn("_bkt", bucket)
@@ -100,8 +78,6 @@ def running_totals(df: DataFrame, group_cols: Sequence[str], bucket: Column,
         *([F.sum("_bn").over(Window.partitionBy(*g)).alias(group_size_col)] if group_size_col else []),
         *([F.sum(f"_bs_{c}").over(Window.partitionBy(*g)).alias(f"{total_prefix}{c}") for c in sum_cols]
           if total_prefix else []))
-    if offsets_hook is not None:
-        offsets = offsets_hook(offsets)
     orders = [F.col(c) for c in order_by] if order_by and isinstance(order_by[0], str) else list(order_by)
     wl = Window.partitionBy(*g, "_bkt").orderBy(*orders)
     wl_rows = wl.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -110,7 +86,6 @@ def running_totals(df: DataFrame, group_cols: Sequence[str], bucket: Column,
         local = local.withColumns({f"_ls_{c}": F.sum(c).over(wl_rows) for c in sum_cols})
     off = offsets.select(*[F.col(c).alias(f"_g_{c}") for c in g],
                          *[c for c in offsets.columns if c not in g])
-    off = F.broadcast(off) if broadcast_offsets else off
     cond = [local["_bkt"] == off["_bkt"]] + [local[c].eqNullSafe(off[f"_g_{c}"]) for c in g]
     j = local.join(off, cond).drop(off["_bkt"]).drop(*[f"_g_{c}" for c in g])
     out = j.withColumn(rank_col, F.col("_on") + F.col("_ln"))
@@ -120,23 +95,14 @@ def running_totals(df: DataFrame, group_cols: Sequence[str], bucket: Column,
     return out.drop(*[c for c in drop if c in out.columns])
 
 
-def value_counts_table(df: DataFrame, value: str, group_cols: Sequence[str] = (),
-                       materialize: bool = True) -> DataFrame:
+def value_counts_table(df: DataFrame, value: str, group_cols: Sequence[str] = ()) -> DataFrame:
     """(group..., value, _c): rows per distinct value - a partial aggregate
-    whose size is the number of distinct values, not rows.  ``materialize``
-    checkpoints it into the shared checkpoint folder, so the bucket
-    boundaries and the ranks read this small table instead of recomputing
-    the input twice."""
-    counts = df.filter(F.col(value).isNotNull()).groupBy(*group_cols, value).agg(F.count(F.lit(1)).alias("_c"))
-    if materialize:
-        from contrail.session import cut_lineage
-        counts = cut_lineage(counts)
-    return counts
+    whose size is the number of distinct values, not rows."""
+    return df.filter(F.col(value).isNotNull()).groupBy(*group_cols, value).agg(F.count(F.lit(1)).alias("_c"))
 
 
 def quantiles_from_counts(counts: DataFrame, value: str, qs: Sequence[float], group_cols: Sequence[str] = (),
-                          names: Sequence[str] | None = None, n_buckets: int = 64,
-                          broadcast_offsets: bool = True, extra_aggs: dict | None = None) -> DataFrame:
+                          names: Sequence[str] | None = None, extra_aggs: dict | None = None) -> DataFrame:
     """Exact quantiles (linear interpolation between the two neighbouring
     ranks, as pandas' default and DuckDB's ``quantile_cont``) from a
     ``value_counts_table``.  The value at 0-based rank r is the distinct
@@ -144,10 +110,10 @@ def quantiles_from_counts(counts: DataFrame, value: str, qs: Sequence[float], gr
     aggregate over the count rows) are computed in the same aggregation."""
     g = list(group_cols)
     names = list(names or [f"q{int(round(q * 100))}" for q in qs])
-    bucket = value_buckets(counts, value, n_buckets)
+    ranged = in_ranges(counts, [*g, value])
     # group totals come from the small offset table: no join with a totals row
-    j = running_totals(counts, g, bucket, [value], ["_c"], rank_col="_r", prefix="_cum",
-                       broadcast_offsets=broadcast_offsets, total_prefix="_tot").withColumnRenamed("_tot_c", "_N")
+    j = running_totals(ranged, g, F.col("_bkt"), [value], ["_c"], rank_col="_r", prefix="_cum",
+                       total_prefix="_tot").withColumnRenamed("_tot_c", "_N")
     aggs = []
     for q, name in zip(qs, names):
         pos = F.lit(float(q)) * (F.col("_N") - 1)
@@ -167,13 +133,11 @@ def quantiles_from_counts(counts: DataFrame, value: str, qs: Sequence[float], gr
 
 
 def exact_quantiles(df: DataFrame, value: str, qs: Sequence[float], group_cols: Sequence[str] = (),
-                    names: Sequence[str] | None = None, n_buckets: int = 64,
-                    broadcast_offsets: bool = True, materialize: bool = True) -> DataFrame:
+                    names: Sequence[str] | None = None) -> DataFrame:
     """Exact quantiles per group without holding a group's values in one
     buffer: distinct-value counts (partial aggregation), then exact ranks
     with ``running_totals``."""
-    counts = value_counts_table(df, value, group_cols, materialize)
-    return quantiles_from_counts(counts, value, qs, group_cols, names, n_buckets, broadcast_offsets)
+    return quantiles_from_counts(value_counts_table(df, value, group_cols), value, qs, group_cols, names)
 
 
 def previous_in_order(df: DataFrame, group_cols: Sequence[str], order_col: str, tie_col: str,
@@ -183,35 +147,19 @@ def previous_in_order(df: DataFrame, group_cols: Sequence[str], order_col: str,
     a group, or a single ``order_col`` value inside a group, holds a third of
     all rows.  ``tie_col`` must be unique inside (group, order value).
 
-    1. rows are ranked inside (group, order value) by ``tie_col`` - the tie
-       values are distinct, so a hot order value splits into buckets;
-    2. the distinct order values of each group (one row each, carrying the
-       last row's values) are ranked by ``order_col``;
-    3. the predecessor is the previous row of the same order value, or for
-       the first row the last row of the previous order value - both found by
-       equi-joins on unique keys.  The ranked rows and the per-order-value
-       table are written once; the latter is broadcast only under the row
-       bound.
-    """
-    from contrail.operators.joins import small_side
-
+    The rows are range-partitioned by (group, order, tie); ``lag`` runs inside
+    (range, group), and only the first row there takes its predecessor from a
+    table of range ends (one row per range and group)."""
     g = list(group_cols)
-    gt = g + [order_col]
-    from contrail.session import cut_lineage
-
-    # read by four consumers (last rows, both predecessor joins, the output): written once
-    within = cut_lineage(running_totals(df, gt, value_buckets(df, tie_col), [tie_col], rank_col="_ri",
-                                        group_size_col="_nt", broadcast_offsets=False))
-    lasts = within.filter(F.col("_ri") == F.col("_nt")).select(
-        *gt, *[F.col(c).alias(f"_l_{c}") for c in value_cols])
-    ranked_t = running_totals(lasts, g, value_buckets(lasts, order_col), [order_col], rank_col="_rt",
-                              broadcast_offsets=False)
-    prev_t = ranked_t.select(*g, (F.col("_rt") + 1).alias("_rt"),
-                             *[F.col(f"_l_{c}").alias(f"_pt_{c}") for c in value_cols])
-    per_t = small_side(ranked_t.select(*gt, "_rt").join(prev_t, g + ["_rt"], "left").drop("_rt"))
-    prev_in = within.select(*gt, (F.col("_ri") + 1).alias("_ri"), *[F.col(c).alias(f"_pw_{c}") for c in value_cols])
-    out = within.join(prev_in, gt + ["_ri"], "left").join(per_t, gt, "left")
-    return out.select(
-        *df.columns,
-        *[F.when(F.col("_ri") == 1, F.col(f"_pt_{c}")).otherwise(F.col(f"_pw_{c}")).alias(f"{prefix}{c}")
-          for c in value_cols])
+    ranged = in_ranges(df, [*g, order_col, tie_col])
+    here = Window.partitionBy("_bkt", *g).orderBy(order_col, tie_col)
+    local = ranged.withColumns({**{f"_l_{c}": F.lag(c).over(here) for c in value_cols},
+                                "_n": F.row_number().over(here)})
+    ends = ranged.groupBy("_bkt", *g).agg(
+        F.max_by(F.struct(*value_cols), F.struct(order_col, tie_col)).alias("_end"))
+    carried = ends.select(F.col("_bkt").alias("_b"), *[F.col(c).alias(f"_g_{c}") for c in g],
+                          F.lag("_end").over(Window.partitionBy(*g).orderBy("_bkt")).alias("_carry"))
+    same = [local["_bkt"] == carried["_b"]] + [local[c].eqNullSafe(carried[f"_g_{c}"]) for c in g]
+    return local.join(carried, same).select(
+        *df.columns, *[F.when(F.col("_n") == 1, F.col(f"_carry.{c}")).otherwise(F.col(f"_l_{c}")).alias(f"{prefix}{c}")
+                       for c in value_cols])

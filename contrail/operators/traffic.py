@@ -3,8 +3,8 @@
 The monitoring panels compute these from scraped counters; here they are
 computed straight from a request log ``(ts, handler, status, duration)``, so
 counter resets and rate extrapolation do not arise.  Every metric is one
-grouped aggregation over ``window(ts, length, slide)`` - partial aggregation
-on the map side, no sort - and works unchanged on a streaming DataFrame
+a grouped count over windows - partial aggregation on the map side, no sort -
+and works unchanged on a streaming DataFrame
 (``contrail.streaming.traffic``).
 """
 
@@ -25,9 +25,30 @@ ERROR_STATUS = ("4xx", "5xx")
 MIN_RATE = 0.001  # denominator clamp of the error share, requests/s
 
 
-def _windowed(df: DataFrame, ts: str, length: str, slide: str | None, by: Sequence[str]):
-    w = F.window(F.col(ts), length, slide) if slide else F.window(F.col(ts), length)
-    return df.groupBy(w.alias("w"), *by)
+UNIT_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}
+
+
+def _length_seconds(text: str) -> float:
+    n, unit = text.split()
+    return float(n) * UNIT_SECONDS[unit.rstrip("s")]
+
+
+def _windowed(df: DataFrame, ts: str, length: str, slide: str | None, by: Sequence[str],
+              **counters: Column) -> DataFrame:
+    """(w, by..., counters...) per window; ``counters`` are counts, which add up.
+
+    Sliding windows of whole slides are counted per slide first (one row per
+    request reaches one pane), then the panes are summed to windows, so a
+    request is not copied once per window that covers it.  A stream, which
+    has one state per query here, is counted by window directly."""
+    aggs = [c.alias(n) for n, c in counters.items()]
+    if not slide:
+        return df.groupBy(F.window(F.col(ts), length).alias("w"), *by).agg(*aggs)
+    if df.isStreaming or _length_seconds(length) % _length_seconds(slide):
+        return df.groupBy(F.window(F.col(ts), length, slide).alias("w"), *by).agg(*aggs)
+    panes = df.groupBy(F.window(F.col(ts), slide).alias("p"), *by).agg(*aggs)
+    panes = panes.select(F.col("p.start").alias("_at"), *by, *counters)
+    return panes.groupBy(F.window(F.col("_at"), length, slide).alias("w"), *by).agg(*[F.sum(n).alias(n) for n in counters])
 
 
 def _is_ntz(df: DataFrame, ts: str) -> bool:
@@ -65,7 +86,7 @@ def request_rate(df: DataFrame, length: str = "1 minute", slide: str | None = "1
                  by: Sequence[str] = (), ts: str = "ts") -> DataFrame:
     """Requests per second in each sliding window, optionally per key."""
     ntz = _is_ntz(df, ts)
-    g = _windowed(df, ts, length, slide, by).agg(F.count(F.lit(1)).alias("n_requests"))
+    g = _windowed(df, ts, length, slide, by, n_requests=F.count(F.lit(1)))
     return g.select(_start_us(ntz).alias("window_start"), *by, "n_requests",
                     (F.col("n_requests") / _seconds(ntz)).alias("rate"))
 
@@ -75,8 +96,8 @@ def error_rate(df: DataFrame, length: str = "5 minutes", slide: str | None = "15
     """Share of 4xx/5xx requests; the denominator rate is clamped to
     0.001 requests/s (W4)."""
     ntz = _is_ntz(df, ts)
-    g = _windowed(df, ts, length, slide, []).agg(
-        F.count(F.lit(1)).alias("n_requests"), F.count_if(F.col(status).isin(*ERROR_STATUS)).alias("n_errors"))
+    g = _windowed(df, ts, length, slide, [], n_requests=F.count(F.lit(1)),
+                  n_errors=F.count_if(F.col(status).isin(*ERROR_STATUS)))
     sec = _seconds(ntz)
     share = (F.col("n_errors") / sec) / F.greatest(F.col("n_requests") / sec, F.lit(MIN_RATE))
     return g.select(_start_us(ntz).alias("window_start"), "n_requests", "n_errors", share.alias("error_share"))
@@ -89,8 +110,8 @@ def latency_quantiles(df: DataFrame, qs: Sequence[float] = (0.95,), length: str
 
     One conditional count per bucket bound - the state per window is a
     handful of counters however many requests it holds."""
-    aggs = [F.count_if(F.col(duration) <= F.lit(float(b))).alias(f"_le{i}") for i, b in enumerate(bounds)]
-    g = _windowed(df, ts, length, slide, by).agg(F.count(F.lit(1)).alias("n_requests"), *aggs)
+    counts = {f"_le{i}": F.count_if(F.col(duration) <= F.lit(float(b))) for i, b in enumerate(bounds)}
+    g = _windowed(df, ts, length, slide, by, n_requests=F.count(F.lit(1)), **counts)
     cums = [F.col(f"_le{i}") for i in range(len(bounds))]
     outs = [histogram_quantile(q, cums, bounds, F.col("n_requests")).alias(f"p{int(round(q * 100))}") for q in qs]
     return g.select(_start_us(_is_ntz(df, ts)).alias("window_start"), *by, "n_requests", *outs)
@@ -100,9 +121,9 @@ def metric_bands(df: DataFrame, length: str = "1 hour", slide: str | None = "15
                  ts: str = "ts", status: str = "status", duration: str = "duration") -> DataFrame:
     """Rate, error share and p95 per window with their status bands (P8),
     in one aggregation."""
-    aggs = [F.count_if(F.col(duration) <= F.lit(float(b))).alias(f"_le{i}") for i, b in enumerate(DURATION_BUCKETS)]
-    g = _windowed(df, ts, length, slide, []).agg(
-        F.count(F.lit(1)).alias("n_requests"), F.count_if(F.col(status).isin(*ERROR_STATUS)).alias("n_errors"), *aggs)
+    counts = {f"_le{i}": F.count_if(F.col(duration) <= F.lit(float(b))) for i, b in enumerate(DURATION_BUCKETS)}
+    g = _windowed(df, ts, length, slide, [], n_requests=F.count(F.lit(1)),
+                  n_errors=F.count_if(F.col(status).isin(*ERROR_STATUS)), **counts)
     ntz = _is_ntz(df, ts)
     sec = _seconds(ntz)
     rate = F.col("n_requests") / sec

@@ -10,7 +10,12 @@ from contrail.plans.oracle_views import with_views
 from contrail.plans.registry import query
 from contrail.sources import fixtures as fx
 
-FP_COLS = ["flight_id", "delay_minutes", "is_significant_delay", "delay_reason"]
+#: Every column of the fixture's versions (all of the row).
+FP_COLS = ["flight_id", "scheduled_departure_local", "airline_code", "origin_airport", "destination_airport", "route",
+           "aircraft_type", "weather_origin", "precipitation_origin_mm", "visibility_origin_km",
+           "wind_speed_origin_mps", "airport_load_index", "airline_load_factor", "previous_flight_delay_min",
+           "departure_hour", "technical_check_required", "crew_change_required", "delay_minutes", "reason0",
+           "l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice", "is_significant_delay", "delay_reason"]
 
 
 @query("dataset_stats", ("G1",), sql=with_views("trips_raw") + """
@@ -121,11 +126,10 @@ def dataset_versions(spark, d):
     return fx.dataset_versions(spark, d).select("version", "flight_id", "is_significant_delay", "delay_reason")
 
 
-_FP_SQL = """
+_FP_TEXT = " || ".join(f"coalesce(length(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')" for c in FP_COLS)
+_FP_SQL = f"""
 SELECT version, count(*) AS n_rows,
-  sum(CAST(('0x' || substr(md5(concat_ws('|', coalesce(CAST(flight_id AS VARCHAR), '\\N'),
-    coalesce(CAST(delay_minutes AS VARCHAR), '\\N'), coalesce(CAST(is_significant_delay AS VARCHAR), '\\N'),
-    coalesce(CAST(delay_reason AS VARCHAR), '\\N'))), 1, 15))::BIGINT AS DECIMAL(38, 0))) AS fingerprint
+  sum(CAST(('0x' || substr(md5({_FP_TEXT}), 1, 15))::BIGINT AS DECIMAL(38, 0))) AS fingerprint
 FROM dataset_versions GROUP BY version"""
 
 

@@ -94,7 +94,7 @@ def latency_p95_exact(spark, d):
     per_window = r.select(F.window("ts", LENGTH, SLIDE).alias("w"), "duration").select(
         epoch_micros(F.col("w.start"), ntz=True).alias("window_start"), "duration")
     # windows grow with the time range: no broadcast of per-window tables
-    q = exact_quantiles(per_window, "duration", [0.95], ["window_start"], ["p95"], broadcast_offsets=False)
+    q = exact_quantiles(per_window, "duration", [0.95], ["window_start"], ["p95"])
     # durations have 5 decimals and the interpolation weight 2, so the exact
     # value has at most 7: rounding at 8 removes only floating-point noise
     return q.select("window_start", F.round("p95", 8).alias("p95"))

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,17 +12,19 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
                 app_name: str = "contrail") -> SparkSession:
     """Build (or reuse) a session with the settings every job here assumes.
 
-    On a cluster the master and resources come from spark-submit; only the
-    SQL behaviour is pinned: UTC session time zone (the oracle compares wall
-    clock values), AQE with partition coalescing and skew-join splitting.
+    On a cluster the master, resources and shuffle partitions come from
+    spark-submit; only the SQL behaviour is pinned: UTC session time zone (the
+    oracle compares wall clock values), AQE with partition coalescing and
+    skew-join splitting.  ``shuffle_partitions`` is set only where a caller
+    passes a number (tests and the bench do).
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    parts = shuffle_partitions or int(os.environ.get("CONTRAIL_SHUFFLE_PARTITIONS", "8"))
+    if shuffle_partitions:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     builder = (
-        builder.config("spark.sql.shuffle.partitions", str(parts))
-        .config("spark.sql.session.timeZone", "UTC")
+        builder.config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
@@ -41,9 +42,9 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting points at shared storage and is used as is;
-    if it is missing there, the job stops rather than write checkpoints to
-    one machine's disk.  Only in local mode (tests) is a private folder made.
+    It points at storage that the driver and all executors share; where it is
+    not set, the job stops rather than write to one machine's disk.  (Tests
+    and the bench set a folder of their own.)
     """
     sc = spark.sparkContext
     current = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
@@ -51,12 +52,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
-    if not sc.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for this cluster")
-    path = tempfile.mkdtemp(prefix="contrail-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", path)
-    sc.setCheckpointDir(path)
-    return path
+    raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...)")
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

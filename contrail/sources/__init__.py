@@ -1,9 +1,9 @@
 from contrail.sources.io import (
     read_flights, read_versions, source_stats, union_versions, write_report, write_table,
 )
-from contrail.sources.tables import DRIVER_TABLES, read_table, register_tables
+from contrail.sources.tables import DRIVER_TABLES, read_table
 
 __all__ = [
-    "DRIVER_TABLES", "read_flights", "read_table", "read_versions", "register_tables", "source_stats",
+    "DRIVER_TABLES", "read_flights", "read_table", "read_versions", "source_stats",
     "union_versions", "write_report", "write_table",
 ]

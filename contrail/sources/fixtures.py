@@ -34,7 +34,7 @@ def _case(col: str, mapping: dict[str, str], default=None):
 def trips_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per lineitem (keys repeat, as flight ids do in the raw file),
     with labels derived from ``delay_minutes``."""
-    li = read_table(spark, sf_dir, "lineitem", balance=True, keys=list(FLIGHT_KEY))
+    li = read_table(spark, sf_dir, "lineitem")
     orders = read_table(spark, sf_dir, "orders")
     cust = read_table(spark, sf_dir, "customer")
     supp = read_table(spark, sf_dir, "supplier")
@@ -90,8 +90,7 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     ``flight_id`` is the text ``orderkey-linenumber``, a one-to-one image of
     the pair, so grouping on the two numeric columns is the same grouping -
-    cheaper to hash and sort than the text, and the pair the lineitem scan is
-    spread on."""
+    cheaper to hash and sort than the text."""
     return dedup_first(trips_raw(spark, sf_dir), list(FLIGHT_KEY), DEDUP_ORDER)
 
 
@@ -109,7 +108,7 @@ def trips_written(spark: SparkSession, sf_dir: str, cols: list[str] | None = Non
 
 def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Binary scores with many ties: ``p`` has 50 distinct values."""
-    li = read_table(spark, sf_dir, "lineitem", balance=True)
+    li = read_table(spark, sf_dir, "lineitem")
     return li.select(
         "l_orderkey", "l_linenumber",
         (F.col("l_quantity") / F.lit(50.0)).alias("p"),
@@ -119,7 +118,7 @@ def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def class_preds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Multiclass actual/predicted pairs (order priority as the class)."""
-    li = read_table(spark, sf_dir, "lineitem", balance=True)
+    li = read_table(spark, sf_dir, "lineitem")
     orders = read_table(spark, sf_dir, "orders")
     return li.join(orders, li.l_orderkey == orders.o_orderkey).select(
         "l_orderkey", "l_linenumber",
@@ -131,7 +130,7 @@ def class_preds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def class_proba(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-row class probability vectors (with ties) for argmax tests."""
-    li = read_table(spark, sf_dir, "lineitem", balance=True)
+    li = read_table(spark, sf_dir, "lineitem")
     return li.select(
         "l_orderkey", "l_linenumber",
         F.array(F.col("l_discount"), F.col("l_tax"), F.col("l_quantity") / F.lit(500.0)).alias("proba"),
@@ -140,7 +139,7 @@ def class_proba(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Request log from ``events``: handler, status class, duration (s)."""
-    ev = read_table(spark, sf_dir, "events", balance=True)
+    ev = read_table(spark, sf_dir, "events")
     return ev.select(
         "event_id", "ts",
         F.col("event_type").alias("handler"),
@@ -165,7 +164,7 @@ def dataset_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Run log: experiment = order priority, run = order, metrics as a map."""
-    o = read_table(spark, sf_dir, "orders", balance=True)
+    o = read_table(spark, sf_dir, "orders")
     return o.select(
         F.col("o_orderpriority").alias("experiment"),
         F.col("o_orderkey").alias("run_id"),

@@ -18,8 +18,11 @@ def read_flights(spark: SparkSession, path: str, schema: T.StructType = FLIGHTS,
     """CSV with header (a UTF-8 BOM is stripped by the reader), fixed schema.
 
     Text columns are read as text; the NA tokens pandas treats as missing
-    become NULL, then numeric columns are cast with ``try_cast`` so bad text
-    gives NULL instead of failing the job, and dates are parsed leniently.
+    become NULL (matched whole, blanks included, as pandas does), then numeric
+    columns are cast with ``try_cast`` so bad text gives NULL instead of
+    failing the job, and dates are parsed leniently.  Integer columns go
+    through double, as a column with missing values is written ``1.0``; a
+    number that is not whole gives NULL.
     """
     text_schema = T.StructType([T.StructField(f.name, T.StringType()) for f in schema])
     raw = (spark.read.option("header", True).option("mode", "PERMISSIVE")
@@ -27,10 +30,13 @@ def read_flights(spark: SparkSession, path: str, schema: T.StructType = FLIGHTS,
     na = F.array(*[F.lit(t) for t in NA_TOKENS])
     cols = []
     for f in schema:
-        c = F.when(F.array_contains(na, F.trim(F.col(f.name))), F.lit(None)).otherwise(F.col(f.name))
+        c = F.when(F.array_contains(na, F.col(f.name)), F.lit(None)).otherwise(F.col(f.name))
         if isinstance(f.dataType, T.StringType):
             if parse_dates and f.name in DATE_COLS:
                 c = parse_lenient(c)
+        elif isinstance(f.dataType, T.IntegralType):
+            number = F.trim(c).try_cast("double")
+            c = F.when(number == F.floor(number), number).try_cast(f.dataType)
         else:
             c = F.trim(c).try_cast(f.dataType)
         cols.append(c.alias(f.name))

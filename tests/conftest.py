@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -11,9 +12,10 @@ SF_MID = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    from contrail.session import checkpoint_dir, get_session
+    from contrail.session import get_session
 
     s = get_session("local[4]", shuffle_partitions=8, app_name="contrail-tests")
-    checkpoint_dir(s)  # tests have no cluster setting: a private folder is made
+    if not s.conf.get("spark.checkpoint.dir", None):  # a cluster names its shared folder
+        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="contrail-ckpt-"))
     yield s
     s.stop()

@@ -5,10 +5,11 @@ is taken, column pruning at the scan."""
 import pytest
 
 import __spark_entry__ as entry
+from contrail.plans import catalog
 
 from conftest import SF_SMALL
 
-NAMES = sorted(n for n in entry.queries() if n != "delay_scoring")
+NAMES = sorted(n for n in catalog.queries() if n != "delay_scoring")
 
 
 def _plan(df):
@@ -42,19 +43,3 @@ def test_scan_reads_only_needed_columns(spark):
     assert "ReadSchema: struct<ts:timestamp_ntz>" in plan or "struct<ts:timestamp_ntz>" in plan
 
 
-def test_small_side_broadcast_only_within_bound(spark):
-    from contrail.operators.joins import small_side
-
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
-    try:
-        big = spark.range(5000).withColumnRenamed("id", "k")
-        small = spark.range(10).withColumnRenamed("id", "k")
-        inside = big.join(small_side(small, max_rows=10), "k")
-        outside = big.join(small_side(small, max_rows=9), "k")
-        assert "BroadcastHashJoin" in _plan(inside)
-        assert "BroadcastHashJoin" not in _plan(outside) and "SortMergeJoin" in _plan(outside)
-        assert inside.count() == outside.count() == 10
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")

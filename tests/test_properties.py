@@ -32,7 +32,7 @@ def test_running_totals_equal_plain_window(spark, rows, n_buckets):
 @given(rows=rows_strategy, q=st.sampled_from([0.0, 0.5, 0.95, 1.0]))
 def test_exact_quantile_equals_numpy(spark, rows, q):
     df = spark.createDataFrame([(g or "", o) for g, o, _ in rows], "g string, o int")
-    got = {r.g: r.q for r in exact_quantiles(df, "o", [q], ["g"], ["q"], materialize=False).collect()}
+    got = {r.g: r.q for r in exact_quantiles(df, "o", [q], ["g"], ["q"]).collect()}
     groups = {}
     for g, o, _ in rows:
         groups.setdefault(g or "", []).append(o)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from contrail.functions.hashing import hex60, seeded_md5
 from contrail.operators import sampling
-from contrail.operators.ranking import exact_quantiles, hash_buckets, running_totals, value_buckets
+from contrail.operators.ranking import exact_quantiles, hash_buckets, in_ranges, previous_in_order, running_totals
 
 
 @pytest.fixture(scope="module")
@@ -35,10 +35,42 @@ def test_running_totals_equals_window(skewed):
     assert a == b
 
 
-def test_value_buckets_monotone(skewed):
-    b = value_buckets(skewed, "v", 8)
-    pairs = sorted({(r.v, r.b) for r in skewed.select("v", b.alias("b")).collect()})
-    assert [p[1] for p in pairs] == sorted(p[1] for p in pairs)
+def test_ranges_are_monotone_and_split_text_with_a_long_prefix(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        ids = spark.range(100_000).select(F.format_string("run-2025-experiment-%06d", "id").alias("t"))
+        ranges = in_ranges(ids, ["t"]).groupBy("_bkt").agg(F.min("t").alias("lo"), F.max("t").alias("hi"),
+                                                          F.count("*").alias("n")).orderBy("_bkt").collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert len(ranges) >= 35 and max(r.n for r in ranges) < 10_000
+    assert all(a.hi < b.lo for a, b in zip(ranges, ranges[1:]))
+
+
+def test_previous_in_order_equals_lag(spark):
+    rnd = random.Random(3)
+    rows = [("hot" if rnd.random() < 0.8 else rnd.choice(["a", None]), rnd.choice([5, rnd.randint(0, 9)]), f"run-{i:05d}", i)
+            for i in range(3000)]
+    df = spark.createDataFrame(rows, "g string, t int, id string, v int")
+    got = previous_in_order(df, ["g"], "t", "id", ["v"]).collect()
+    want = df.withColumn("p", F.lag("v").over(Window.partitionBy("g").orderBy("t", "id"))).collect()
+    assert sorted((r.v, r.prev_v) for r in got) == sorted((r.v, r.p) for r in want)
+
+
+@pytest.mark.parametrize("identical", [True, False])
+def test_relabel_with_repeated_keys_takes_the_exact_share(spark, identical):
+    """200 rows, 100 keys twice each: 200 rows come back, 120 of them relabelled."""
+    rows = [(f"f{i // 2}", 100.0, 3 if identical else 3 + i % 2, 0, "none") for i in range(200)]
+    df = spark.createDataFrame(rows, "flight_id string, previous_flight_delay_min double, delay_minutes int, "
+                                     "is_significant_delay int, delay_reason string")
+    seed, rules = sampling.RULE_SETS["v1"]
+    out = sampling.relabel(df, rules, "flight_id", seed)
+    assert out.count() == 200 and out.filter("relabel_rule = 'cascade'").count() == 120
+    odd = sampling.relabel(df.limit(199), rules, "flight_id", seed)
+    assert odd.count() == 199 and odd.filter("relabel_rule is not null").count() == 119
+    assert sampling.relabel(df.limit(0), rules, "flight_id", seed).count() == 0
 
 
 def test_exact_quantiles_match_numpy(skewed):
@@ -92,16 +124,16 @@ def test_relabel_touches_only_candidates_exact_share(spark):
     for r in changed:
         assert r.flight_id in cands and 15 <= r.delay_minutes < 45
         assert r.is_significant_delay == 1 and r.delay_reason == "weather"
-    again = sampling.relabel(df.repartition(5), rules[:1], "flight_id", seed, checkpoint=False).collect()
+    again = sampling.relabel(df.repartition(5), rules[:1], "flight_id", seed).collect()
     assert sorted(map(tuple, out)) == sorted(map(tuple, again))
 
 
-def test_relabel_with_checkpoint(spark):
+def test_relabel_by_the_third_rule(spark):
     df = spark.createDataFrame([(f"f{i}", 100.0, 3, 0, "none") for i in range(50)],
                                "flight_id string, previous_flight_delay_min double, delay_minutes int, "
                                "is_significant_delay int, delay_reason string")
     seed, rules = sampling.RULE_SETS["v1"]
-    out = sampling.relabel(df, rules, "flight_id", seed, checkpoint=True)
+    out = sampling.relabel(df, rules, "flight_id", seed)
     assert out.filter("relabel_rule = 'cascade'").count() == 30
 
 

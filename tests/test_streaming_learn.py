@@ -35,13 +35,12 @@ def test_feature_vector_order_and_unseen(spark, models):
     cols = feats.stages[-1].getInputCols()
     assert cols[:12] == [f"{c}__f" for c in spec.numeric]
     assert cols[-9:] == [f"{c}__i" for c in spec.categorical]
-    ind = [s for s in feats.stages if hasattr(s, "labels")]
-    assert all(list(s.labels) == sorted(s.labels) for s in ind)
+    labels = [list(v) for s in feats.stages if hasattr(s, "labelsArray") for v in s.labelsArray]
+    assert len(labels) == 9 and all(v == sorted(v) for v in labels)
     one = learn.prepare(spark.createDataFrame([("zz-new", "2025-01-01 10:00")],
                                               "airline_code string, scheduled_departure_local string"), spec)
     v = feats.transform(one).select("features").first()[0]
-    air = ind[0]
-    assert v[len(spec.numeric) + len(spec.ints)] == float(len(air.labels))  # unseen bucket
+    assert v[len(spec.numeric) + len(spec.ints)] == float(len(labels[0]))  # unseen bucket
 
 
 def test_score_and_quality(spark, models):
@@ -65,6 +64,8 @@ def test_bundle_roundtrip_and_importances(spark, models):
     got = learn.load_bundle(path)
     assert got is not None and got[2]["threshold"] == 0.52
     assert learn.load_bundle(os.path.join(path, "missing")) is None
+    with pytest.raises(Exception):  # a folder that is no bundle is an error, not a missing model
+        learn.load_bundle(os.path.join(path, "metadata"))
     top = learn.top_importances(spark, delay, spec.all, k=5).collect()
     assert len(top) == 5 and [r.importance for r in top] == sorted((r.importance for r in top), reverse=True)
 
@@ -73,14 +74,20 @@ def test_score_stream(spark, models):
     spec, feats, delay, reason, classes, _ = models
     src = tempfile.mkdtemp(prefix="contrail-req-")
     req = fx.score_requests(spark, SF_SMALL).withColumnRenamed("flight_id", "request_id")
+    bad = F.col("request_id").endswith("7-1")
+    req = req.withColumn("scheduled_departure_local", F.when(bad, "not a date").otherwise(F.col("scheduled_departure_local")))
     req.write.mode("overwrite").parquet(os.path.join(src, "batch1"))
     stream = spark.readStream.schema(req.schema).parquet(os.path.join(src, "batch1"))
-    q = score_stream(stream, feats, delay, 0.5, reason, classes).writeStream.format("memory") \
-        .queryName("scored_requests").outputMode("append").start()
-    q.processAllAvailable()
-    q.stop()
-    n_valid = req.filter(" AND ".join(f"{c} IS NOT NULL" for c in ["aircraft_type", "distance_km"])).count()
+    for name, part in zip(("scored_requests", "rejected_requests"),
+                          score_stream(stream, feats, delay, 0.5, reason, classes)):
+        q = part.writeStream.format("memory").queryName(name).outputMode("append").start()
+        q.processAllAvailable()
+        q.stop()
+    n_valid = req.filter(" AND ".join(f"{c} IS NOT NULL" for c in ["aircraft_type", "distance_km"])).filter(~bad).count()
     assert spark.table("scored_requests").count() == n_valid
+    assert spark.table("rejected_requests").count() == req.count() - n_valid
+    why = {r.rejected_for for r in spark.table("rejected_requests").collect()}
+    assert why == {"aircraft_type", "distance_km", "scheduled_departure_local"}
 
 
 def test_traffic_stream_equals_batch_on_closed_windows(spark):

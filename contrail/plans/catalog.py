@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from contrail.plans import catalog_features, catalog_models, catalog_profiles, catalog_traffic  # noqa: F401
+from contrail.plans import (  # noqa: F401
+    catalog_features, catalog_io, catalog_models, catalog_profiles, catalog_traffic,
+)
 from contrail.plans.registry import REGISTRY
 
 FLAGSHIP = "severity_positive_share"

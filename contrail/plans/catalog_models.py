@@ -359,12 +359,10 @@ def validate_requests(spark, d):
 SCORING_PARAMS = {"n_estimators": 10, "max_depth": 5, "min_child_samples": 20, "seed": 42}
 
 
-@query("delay_scoring", ("M4", "M5", "M6", "M7", "M8"))
-def delay_scoring(spark, d):
+def scored_test_rows(spark, d, params):
     """Fit the input pipeline and both models on the train split of the v1
-    relabelled flights, then score the test split.  Iterative (boosting), so
-    there is no SQL form: the driver checks rows only; ``scoring_contract``
-    checks what SQL can say of the same rows."""
+    relabelled flights, then score the test split.  The prepared rows and the
+    split are written once and read by every fit."""
     from contrail.operators import learn
 
     seed, rules = sampling.RULE_SETS["v1"]
@@ -373,6 +371,14 @@ def delay_scoring(spark, d):
     split = cut_lineage(sampling.stratified_split(data, "is_significant_delay", "flight_id", 0.2, 42))
     train, test = split.filter("split = 'train'"), split.filter("split = 'test'")
     feats = learn.build_features(train, spec)
-    delay = learn.train_delay(train, feats, params=dict(SCORING_PARAMS, learning_rate=0.1))
-    reason, classes = learn.train_reason(features.reason_subset(train), feats, params=SCORING_PARAMS)
+    delay = learn.train_delay(train, feats, params=dict(params, learning_rate=0.1))
+    reason, classes = learn.train_reason(features.reason_subset(train), feats, params=params)
     return learn.score(test, feats, delay, 0.5, reason, classes, keep=["flight_id"])
+
+
+@query("delay_scoring", ("M4", "M5", "M6", "M7", "M8"))
+def delay_scoring(spark, d):
+    """Scored test rows.  Iterative (boosting), so there is no SQL form: the
+    driver checks rows only; ``scoring_contract`` checks what SQL can say of
+    the same rows."""
+    return scored_test_rows(spark, d, SCORING_PARAMS)

@@ -1,14 +1,11 @@
-"""Summarize the physical plan of every registered query.
+"""Summarize every plan that each registered query runs.
 
 Usage: python tools/plan_report.py [sf_dir] [--large]
 
-``--large`` turns automatic broadcast off, so joins of the TPC-H-like
-tables plan as they would on inputs far above the broadcast threshold
-(explicit, size-checked broadcasts stay).  Each query is executed and its
-final adaptive plan summarized: shuffle stages actually run (after exchange
-reuse), join strategies, partial group limits and any Python evaluation.
-Steps a query writes to the checkpoint folder first run as their own
-jobs and are not counted here.
+``--large`` turns automatic broadcast off, so joins plan as they would on
+inputs far above the broadcast threshold.  Each query is executed; the final
+adaptive plans of all its executions count, those that write tables to the
+checkpoint folder and that collect small results included.
 """
 
 from __future__ import annotations
@@ -16,10 +13,11 @@ from __future__ import annotations
 import os
 import re
 import sys
+import tempfile
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from contrail.session import checkpoint_dir, get_session  # noqa: E402
+from contrail.session import get_session  # noqa: E402
 
 
 def main() -> None:
@@ -30,25 +28,27 @@ def main() -> None:
     import __spark_entry__ as e
 
     spark = get_session("local[8]", shuffle_partitions=16)
-    checkpoint_dir(spark)
+    if not spark.conf.get("spark.checkpoint.dir", None):
+        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="contrail-plans-"))
+    spark.conf.set("spark.sql.ui.retainedExecutions", "100000")
     if large:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
         spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
-    print("| query | shuffle stages | reused | SMJ | BHJ | partial limit | python |")
-    print("|---|---|---|---|---|---|---|")
+    store = spark._jsparkSession.sharedState().statusStore()
+    print("| query | executions | shuffles | SMJ | BHJ | table scans | partial limit | python |")
+    print("|---|---|---|---|---|---|---|---|")
+    seen = store.executionsCount()
     for name, build in e.queries().items():
-        if name == "delay_scoring":
-            continue
-        df = build(spark, sf_dir)
-        df.collect()
-        plan = df._jdf.queryExecution().executedPlan().toString()
-        plan = plan.split("== Initial Plan ==")[0]  # keep the final adaptive plan only
-        stages = len(re.findall(r"ShuffleQueryStage", plan))
-        reused = plan.count("ReusedExchange")
-        partial = "yes" if re.search(r"WindowGroupLimit .*Partial", plan) else ""
-        py = "YES" if ("EvalPython" in plan) else ""
-        print(f"| {name} | {stages} | {reused} | {plan.count('SortMergeJoin')} | "
-              f"{plan.count('BroadcastHashJoin')} | {partial} | {py} |")
+        build(spark, sf_dir).write.format("noop").mode("overwrite").save()
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(60_000)
+        found = store.executionsList(int(seen), 10_000)
+        seen = store.executionsCount()
+        plans = [found.apply(i).physicalPlanDescription().split("== Initial Plan ==")[0] for i in range(found.size())]
+        tree = "\n".join(p.split("\n\n")[0] for p in plans)  # the trees, without the details by node
+        scans = len(re.findall(r"Scan parquet", tree))
+        print(f"| {name} | {len(plans)} | {len(re.findall(r'- Exchange|ShuffleQueryStage', tree)) // 2} | "
+              f"{tree.count('SortMergeJoin')} | {tree.count('BroadcastHashJoin')} | {scans} | "
+              f"{'yes' if 'WindowGroupLimit' in tree else ''} | {'yes' if re.search('EvalPython|InPandas', tree) else ''} |")
     spark.stop()
 
 

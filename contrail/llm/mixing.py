@@ -35,7 +35,7 @@ from contrail.session import cut_lineage
 
 MAX_SOURCES = 10_000
 #: Rows of one source that one rank window holds, on average.
-RANGE_ROWS = 20_000
+RANGE_ROWS = 1_000
 ADDED = ("mix_source", "mix_block", "mix_release", "mix_deadline", "mix_slot", "mix_rank")
 
 

@@ -69,8 +69,8 @@ def severity_positive_share(spark, d):
 @query("dedup_first", ("D1",), sql=with_views("trips") + """
 SELECT flight_id, l_shipdate, l_partkey, l_suppkey, l_extendedprice, delay_minutes, delay_reason FROM trips""")
 def dedup_first_q(spark, d):
-    return fx.trips(spark, d).select("flight_id", "l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice",
-                                     "delay_minutes", "delay_reason")
+    return fx.trips(spark, d, ["flight_id", "l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice",
+                               "delay_minutes", "delay_reason"])
 
 
 @query("derived_flags", ("F1-F13", "P3", "F19"), sql=with_views("trips") + ", " + FLAGS_SQL + """
@@ -93,7 +93,7 @@ SELECT flight_id,
                 ELSE strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') END AS TIMESTAMP) AS flight_date
 FROM trips""")
 def time_features(spark, d):
-    t = fx.trips(spark, d)
+    t = fx.trips(spark, d, ["flight_id", "scheduled_departure_local", "l_shipdate", "l_partkey"])
     ts = F.col("scheduled_departure_local")
     cal = calendar_columns(ts)
     text = F.col("l_shipdate").cast("string")
@@ -114,7 +114,7 @@ def time_features(spark, d):
 @query("route_feature", ("F18",), sql=with_views("trips") + """
 SELECT flight_id, concat(origin_airport, '-', destination_airport) AS route_built FROM trips""")
 def route_feature(spark, d):
-    return fx.trips(spark, d).select("flight_id", route_column().alias("route_built"))
+    return fx.trips(spark, d, ["flight_id", "origin_airport", "destination_airport"]).select("flight_id", route_column().alias("route_built"))
 
 
 @query("route_history_avg", ("H1",), sql=with_views("trips") + """

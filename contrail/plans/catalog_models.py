@@ -152,7 +152,7 @@ def relabel_rules_v4(spark, d):
 def relabel_raw(spark, d):
     """The v1 rules on the raw file, whose keys repeat."""
     seed, rules = sampling.RULE_SETS["v1"]
-    raw = cut_lineage(fx.trips_raw(spark, d).select(*dict.fromkeys([*RELABEL_COLS, *fx.DEDUP_ORDER])))
+    raw = cut_lineage(fx.trips_raw(spark, d, list(dict.fromkeys([*RELABEL_COLS, *fx.DEDUP_ORDER]))))
     return sampling.relabel(raw, rules, "flight_id", seed, tie=fx.DEDUP_ORDER) \
         .select("flight_id", "delay_minutes", "is_significant_delay", "delay_reason", "relabel_rule")
 
@@ -162,7 +162,7 @@ def relabel_raw(spark, d):
 SELECT flight_id, coalesce(delay_reason, 'nan') AS delay_reason FROM trips
 WHERE is_significant_delay = 1 AND (delay_reason IS NULL OR delay_reason <> 'none')""")
 def reason_subset(spark, d):
-    return features.reason_subset(fx.trips(spark, d)).select("flight_id", "delay_reason")
+    return features.reason_subset(fx.trips(spark, d, ["flight_id", "is_significant_delay", "delay_reason"])).select("flight_id", "delay_reason")
 
 
 @query("threshold_decision", ("P6",), sql=with_views("scores") + f"""

@@ -24,7 +24,7 @@ SELECT count(*) AS rows_total, CAST(count(*) - count(DISTINCT flight_id) AS BIGI
   round(avg(is_significant_delay), 6) AS positive_share
 FROM trips_raw""")
 def dataset_stats(spark, d):
-    return profile.dataset_stats(fx.trips_raw(spark, d))
+    return profile.dataset_stats(fx.trips_raw(spark, d, ["flight_id", "is_significant_delay"]))
 
 
 @query("duplicate_count", ("D2",), sql=with_views("trips_raw") + """
@@ -32,13 +32,13 @@ SELECT count(*) AS rows_total, count(DISTINCT flight_id) AS distinct_keys,
   CAST(count(*) - count(DISTINCT flight_id) AS BIGINT) AS duplicate_rows
 FROM trips_raw""")
 def duplicate_count(spark, d):
-    return dedup.duplicate_count(fx.trips_raw(spark, d), ["flight_id"])
+    return dedup.duplicate_count(fx.trips_raw(spark, d, ["flight_id"]), ["flight_id"])
 
 
 @query("reason_counts", ("G2",), sql=with_views("trips_raw") + """
 SELECT delay_reason, count(*) AS n_rows FROM trips_raw WHERE delay_reason IS NOT NULL GROUP BY delay_reason""")
 def reason_counts(spark, d):
-    return profile.value_counts(fx.trips_raw(spark, d), "delay_reason")
+    return profile.value_counts(fx.trips_raw(spark, d, ["delay_reason"]), "delay_reason")
 
 
 _SUMMARY_SQL = """avg(delay_minutes) AS mean_delay, max(delay_minutes) AS max_delay,
@@ -48,9 +48,10 @@ _SUMMARY_SQL = """avg(delay_minutes) AS mean_delay, max(delay_minutes) AS max_de
 @query("delay_summary", ("G3", "P5"), sql=with_views("trips") + f"""
 SELECT {_SUMMARY_SQL} FROM trips WHERE is_significant_delay = 1""")
 def delay_summary(spark, d):
-    return profile.delay_summary(fx.trips(spark, d))
+    return profile.delay_summary(fx.trips(spark, d, ["is_significant_delay", "delay_minutes"]))
 
 
+STATS_COLS = ["flight_id", "delay_minutes", "is_significant_delay", "delay_reason", "l_shipdate"]
 NULL_COLS = ["flight_id", "scheduled_departure_local", "airline_code", "origin_airport", "destination_airport",
              "route", "aircraft_type", "weather_origin", "precipitation_origin_mm", "visibility_origin_km",
              "wind_speed_origin_mps", "airport_load_index", "airline_load_factor", "previous_flight_delay_min",
@@ -62,7 +63,7 @@ NULL_COLS = ["flight_id", "scheduled_departure_local", "airline_code", "origin_a
     f"SELECT '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL) AS null_count FROM trips_raw"
     for c in NULL_COLS))
 def null_profile(spark, d):
-    return profile.null_profile(fx.trips_raw(spark, d), NULL_COLS)
+    return profile.null_profile(fx.trips_raw(spark, d, NULL_COLS), NULL_COLS)
 
 
 @query("period_profile", ("G5",), sql=with_views("trips_raw") + """
@@ -70,7 +71,7 @@ SELECT CAST(year(scheduled_departure_local) AS INTEGER) AS year, count(*) AS n_r
   min(scheduled_departure_local) AS period_start, max(scheduled_departure_local) AS period_end
 FROM trips_raw GROUP BY 1""")
 def period_profile(spark, d):
-    return profile.period_profile(fx.trips_raw(spark, d), "scheduled_departure_local")
+    return profile.period_profile(fx.trips_raw(spark, d, ["scheduled_departure_local"]), "scheduled_departure_local")
 
 
 @query("class_distribution", ("G6",), sql=with_views("class_preds") + """
@@ -92,7 +93,7 @@ LEFT JOIN (SELECT version, {_SUMMARY_SQL} FROM dataset_versions WHERE is_signifi
 
 @query("version_stats", ("G7",), sql=with_views("dataset_versions") + _VERSION_STATS_SQL)
 def version_stats(spark, d):
-    return profile.version_stats(fx.dataset_versions(spark, d))
+    return profile.version_stats(fx.dataset_versions(spark, d, STATS_COLS))
 
 
 @query("compare_versions", ("G8",), sql=with_views("dataset_versions") + f""",
@@ -117,7 +118,7 @@ SELECT measure,
   - (CASE WHEN measure LIKE 'reason:%' THEN coalesce(old_value, 0) ELSE old_value END) AS delta
 FROM j""")
 def compare_versions(spark, d):
-    return profile.compare_versions(fx.dataset_versions(spark, d), "v0", "v1")
+    return profile.compare_versions(fx.dataset_versions(spark, d, STATS_COLS), "v0", "v1")
 
 
 @query("dataset_versions", ("S4",), sql=with_views("dataset_versions") + """
@@ -188,7 +189,7 @@ UNION ALL SELECT 'reason_without_delay',
 UNION ALL SELECT 'delay_without_reason',
   count(*) FILTER (WHERE flag = 1 AND (reason IS NULL OR reason = 'none')) FROM chk""")
 def label_violations(spark, d):
-    t = fx.trips_raw(spark, d).select(
+    t = fx.trips_raw(spark, d, ["delay_minutes", "l_partkey", "reason0"]).select(
         "delay_minutes",
         F.when((F.col("delay_minutes") >= 15) & (F.pmod("l_partkey", F.lit(9)) != 4), 1).otherwise(0)
         .alias("is_significant_delay"),

@@ -31,67 +31,91 @@ def _case(col: str, mapping: dict[str, str], default=None):
     return expr.otherwise(F.lit(default)) if default is not None else expr
 
 
-def trips_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per lineitem (keys repeat, as flight ids do in the raw file),
-    with labels derived from ``delay_minutes``."""
-    li = read_table(spark, sf_dir, "lineitem")
-    orders = read_table(spark, sf_dir, "orders")
-    cust = read_table(spark, sf_dir, "customer")
-    supp = read_table(spark, sf_dir, "supplier")
-    part = read_table(spark, sf_dir, "part")
-    nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    # nation has 25 rows at every scale factor: a proven bound, so broadcast.
-    cn = F.broadcast(nation.select(F.col("n_nationkey").alias("cn_key"), F.col("n_name").alias("cn_name")))
-    sn = F.broadcast(nation.select(F.col("n_nationkey").alias("sn_key"), F.col("n_name").alias("sn_name")))
-    # The big joins (lineitem-orders, -part, -customer, -supplier) are left to
-    # the planner: AQE turns a side into a broadcast only when its measured
-    # size is under spark.sql.autoBroadcastJoinThreshold, else sort-merge.
-    j = (
-        li.join(orders, li.l_orderkey == orders.o_orderkey)
-        .join(cust, F.col("o_custkey") == cust.c_custkey)
-        .join(cn, F.col("c_nationkey") == F.col("cn_key"))
-        .join(supp, F.col("l_suppkey") == supp.s_suppkey)
-        .join(sn, F.col("s_nationkey") == F.col("sn_key"))
-        .join(part, F.col("l_partkey") == part.p_partkey)
-    )
+#: What each joined table gives; a view joins only the tables of the columns asked for.
+FROM_ORDERS = {"scheduled_departure_local", "reason0", "delay_reason"}
+FROM_PART = {"airline_code", "aircraft_type", "visibility_origin_km", "technical_check_required"}
+FROM_CUSTOMER = {"weather_origin"}
+FROM_CUSTOMER_NATION = {"destination_airport", "route"}
+FROM_SUPPLIER = {"origin_airport", "route"}
+COLUMNS = ["flight_id", "scheduled_departure_local", "airline_code", "origin_airport", "destination_airport", "route",
+           "aircraft_type", "weather_origin", "precipitation_origin_mm", "visibility_origin_km", "wind_speed_origin_mps",
+           "airport_load_index", "airline_load_factor", "previous_flight_delay_min", "departure_hour",
+           "technical_check_required", "crew_change_required", "delay_minutes", "reason0", "l_shipdate", "l_partkey",
+           "l_suppkey", "l_extendedprice", *FLIGHT_KEY, "is_significant_delay", "delay_reason"]
+
+
+def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns that lineitem alone gives."""
     minutes = F.greatest(
         F.pmod(F.col("l_orderkey") * 7 + F.col("l_linenumber") * 11 + F.col("l_quantity").cast("bigint"), F.lit(60))
         - 25, F.lit(0)).cast("int")
-    out = j.select(
+    return read_table(spark, sf_dir, "lineitem").select(
         F.concat(F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string")).alias("flight_id"),
-        F.col("o_orderdate").alias("scheduled_departure_local"),
-        F.col("p_brand").alias("airline_code"),
-        F.col("sn_name").alias("origin_airport"),
-        F.col("cn_name").alias("destination_airport"),
-        F.concat(F.col("sn_name"), F.lit("-"), F.col("cn_name")).alias("route"),
-        F.col("p_type").alias("aircraft_type"),
-        _case("c_mktsegment", SEGMENT_WEATHER).alias("weather_origin"),
         F.nullif(F.col("l_tax") * 100, F.lit(0.0)).alias("precipitation_origin_mm"),
-        (F.col("p_size") / F.lit(5.0)).alias("visibility_origin_km"),
         (F.col("l_quantity") / F.lit(2.5)).alias("wind_speed_origin_mps"),
         (F.col("l_discount") * 10).alias("airport_load_index"),
         F.nullif(F.col("l_tax") * F.lit(12.5), F.lit(0.0)).alias("airline_load_factor"),
         F.pmod(F.col("l_partkey"), F.lit(100)).cast("double").alias("previous_flight_delay_min"),
         F.pmod(F.col("l_orderkey"), F.lit(24)).cast("int").alias("departure_hour"),
-        F.when(F.pmod(F.col("p_size"), F.lit(10)) == 0, 1).otherwise(0).cast("int").alias("technical_check_required"),
         F.when(F.col("l_linenumber") == 1, 1).otherwise(0).cast("int").alias("crew_change_required"),
-        minutes.alias("delay_minutes"),
-        _case("o_orderpriority", PRIORITY_REASON, "other").alias("reason0"),
-        "l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice", *FLIGHT_KEY,
-    )
-    return out.withColumns({
-        "is_significant_delay": (F.col("delay_minutes") >= 15).cast("int"),
-        "delay_reason": F.when(F.col("delay_minutes") < 15, "none").otherwise(F.col("reason0")),
-    })
+        minutes.alias("delay_minutes"), (minutes >= 15).cast("int").alias("is_significant_delay"),
+        "l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice", *FLIGHT_KEY)
+
+
+def _joined(spark: SparkSession, sf_dir: str, lines: DataFrame, cols: list[str] | None) -> DataFrame:
+    """``lines`` with the asked columns of the other tables.  Keys are foreign
+    keys, so a table that gives no asked column is not joined.  The joins are
+    left to the planner: AQE broadcasts a side only when its measured size is
+    under spark.sql.autoBroadcastJoinThreshold; nation is hinted, with 25 rows
+    at every scale factor."""
+    cols = list(cols or COLUMNS)
+    asked, j = set(cols), lines
+    nation = read_table(spark, sf_dir, "nation")
+    customer = asked & (FROM_CUSTOMER | FROM_CUSTOMER_NATION)
+    if asked & FROM_ORDERS or customer:
+        j = j.join(read_table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+    if customer:
+        j = j.join(read_table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    if asked & FROM_CUSTOMER_NATION:
+        cn = nation.select(F.col("n_nationkey").alias("cn_key"), F.col("n_name").alias("cn_name"))
+        j = j.join(F.broadcast(cn), F.col("c_nationkey") == F.col("cn_key"))
+    if asked & FROM_SUPPLIER:
+        sn = nation.select(F.col("n_nationkey").alias("sn_key"), F.col("n_name").alias("sn_name"))
+        j = j.join(read_table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
+        j = j.join(F.broadcast(sn), F.col("s_nationkey") == F.col("sn_key"))
+    if asked & FROM_PART:
+        j = j.join(read_table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    made = {
+        "scheduled_departure_local": lambda: F.col("o_orderdate"),
+        "airline_code": lambda: F.col("p_brand"),
+        "origin_airport": lambda: F.col("sn_name"),
+        "destination_airport": lambda: F.col("cn_name"),
+        "route": lambda: F.concat(F.col("sn_name"), F.lit("-"), F.col("cn_name")),
+        "aircraft_type": lambda: F.col("p_type"),
+        "weather_origin": lambda: _case("c_mktsegment", SEGMENT_WEATHER),
+        "visibility_origin_km": lambda: F.col("p_size") / F.lit(5.0),
+        "technical_check_required": lambda: F.when(F.pmod(F.col("p_size"), F.lit(10)) == 0, 1).otherwise(0).cast("int"),
+        "reason0": lambda: _case("o_orderpriority", PRIORITY_REASON, "other"),
+        "delay_reason": lambda: F.when(F.col("delay_minutes") < 15, "none").otherwise(
+            _case("o_orderpriority", PRIORITY_REASON, "other")),
+    }
+    return j.select(*[made[c]().alias(c) if c in made else F.col(c) for c in cols])
+
+
+def trips_raw(spark: SparkSession, sf_dir: str, cols: list[str] | None = None) -> DataFrame:
+    """One row per lineitem (keys repeat, as flight ids do in the raw file),
+    with labels derived from ``delay_minutes``; only ``cols`` if given."""
+    return _joined(spark, sf_dir, _lines(spark, sf_dir), cols)
 
 
-def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Cleaned flights: first row per ``flight_id``.
+def trips(spark: SparkSession, sf_dir: str, cols: list[str] | None = None) -> DataFrame:
+    """Cleaned flights: first row per ``flight_id`` (D1); only ``cols`` if given.
 
     ``flight_id`` is the text ``orderkey-linenumber``, a one-to-one image of
     the pair, so grouping on the two numeric columns is the same grouping -
-    cheaper to hash and sort than the text."""
-    return dedup_first(trips_raw(spark, sf_dir), list(FLIGHT_KEY), DEDUP_ORDER)
+    cheaper to hash and sort than the text.  The order uses lineitem columns
+    alone, so duplicates go before the joins."""
+    return _joined(spark, sf_dir, dedup_first(_lines(spark, sf_dir), list(FLIGHT_KEY), DEDUP_ORDER), cols)
 
 
 def trips_written(spark: SparkSession, sf_dir: str, cols: list[str] | None = None) -> DataFrame:
@@ -102,8 +126,7 @@ def trips_written(spark: SparkSession, sf_dir: str, cols: list[str] | None = Non
     and its shuffles would run twice.  Only ``cols`` are written."""
     from contrail.session import cut_lineage
 
-    t = trips(spark, sf_dir)
-    return cut_lineage(t.select(*cols) if cols else t)
+    return cut_lineage(trips(spark, sf_dir, cols))
 
 
 def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -148,7 +171,7 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def dataset_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def dataset_versions(spark: SparkSession, sf_dir: str, cols: list[str] | None = None) -> DataFrame:
     """Three versions of the cleaned flights: ``v0`` (even ship year),
     ``v1`` (odd ship year) and ``v2``, an exact copy of ``v1``.
 
@@ -156,7 +179,7 @@ def dataset_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     versions it belongs to and exploded: one pass over ``trips`` instead of
     one per version (versions stored separately are unioned with
     ``sources.union_versions``)."""
-    t = trips(spark, sf_dir)
+    t = trips(spark, sf_dir, cols)  # ``cols`` must include l_shipdate
     even = F.pmod(F.year("l_shipdate"), F.lit(2)) == 0
     tags = F.when(even, F.array(F.lit("v0"))).otherwise(F.array(F.lit("v1"), F.lit("v2")))
     return t.withColumn("version", F.explode(tags))

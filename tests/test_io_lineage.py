@@ -141,7 +141,44 @@ def test_compare_versions_golden_counts(spark):
         assert got[f"reason:{r}"].delta == REASONS_NEW[r] - REASONS_OLD[r]
 
 
-def test_checkpoint_dir_never_local_on_a_cluster():
+def test_session_keeps_preset_partitions(spark):
+    from contrail.session import get_session
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2000")
+    try:
+        assert get_session().conf.get("spark.sql.shuffle.partitions") == "2000"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_row_text_is_unambiguous(spark):
+    rows = [("x|y", "z"), ("x", "y|z"), ("\\N", "z"), (None, "z"), ("", "z"), ("1:x", None), ("1", ":x"), ("-", "z")]
+    df = spark.createDataFrame(rows, "a string, b string")
+    prints = {lineage.fingerprint(df.filter(F.monotonically_increasing_id().isNotNull()).limit(0).unionByName(
+        spark.createDataFrame([r], df.schema)), ["a", "b"]).first().fingerprint for r in rows}
+    assert len(prints) == len(rows)
+
+
+def test_empty_input_counts_are_zero(spark):
+    empty = spark.createDataFrame([], "flight_id string, is_significant_delay int")
+    assert profile.dataset_stats(empty).first()[:3] == (0, 0, 0)
+    assert tuple(dedup.duplicate_count(empty, ["flight_id"]).first()) == (0, 0, 0)
+
+
+def test_csv_ints_written_as_decimals(spark):
+    d = _tmp()
+    with open(os.path.join(d, "f.csv"), "w") as fh:
+        fh.write(",".join(f.name for f in FLIGHTS) + "\n")
+        for i, minutes in enumerate(("8.0", "20", "1.5", " NA", "1e1", "")):
+            fh.write(",".join({"flight_id": f"F{i}", "delay_minutes": minutes, "airline_code": " NA"}.get(f.name, "")
+                              for f in FLIGHTS) + "\n")
+    got = {r.flight_id: r for r in read_flights(spark, d).collect()}
+    assert [got[f"F{i}"].delay_minutes for i in range(6)] == [8, 20, None, None, 10, None]
+    assert got["F0"].airline_code == " NA"  # an NA token counts only as the whole value
+
+
+def test_checkpoint_dir_is_never_local():
     import pytest
 
     from contrail.session import checkpoint_dir

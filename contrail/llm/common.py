@@ -30,3 +30,8 @@ def unused(name: str, df: DataFrame) -> str:
     while name in taken:
         name += "_"
     return name
+
+
+def all_columns(df: DataFrame) -> list[Column]:
+    """The columns of ``df`` by their whole names, dots and all."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]

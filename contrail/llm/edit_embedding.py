@@ -188,9 +188,9 @@ def near_classes(prints: DataFrame, least: float = 0.8, digits: int = 8) -> Data
     """(fingerprint, class_id) for ``prints`` (doc_id, fingerprint): near
     copies by banding and verification; class_id is the smallest id linked.
 
-    Bands of ``digits`` samples within one octave are the keys.  Each distinct fingerprint is
-    joined to the smallest one in its bucket and to the one before it there;
-    links of likeness ``least`` or more stay."""
+    Bands of ``digits`` samples from the two largest octaves that a text reaches
+    are the keys.  Each distinct fingerprint is joined to the smallest one in
+    its bucket; links of likeness ``least`` or more stay."""
     width = SAMPLES // digits
 
     @F.pandas_udf(T.ArrayType(T.StringType()))

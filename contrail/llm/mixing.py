@@ -31,6 +31,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from contrail.llm.common import all_columns
 from contrail.session import cut_lineage
 
 MAX_SOURCES = 10_000
@@ -83,9 +84,8 @@ def mix(docs: DataFrame, weights: Mapping | None = None, block: int = 16, period
     (mix_slot, mix_rank).  Whole rows move once."""
     spark = docs.sparkSession
     docs = docs.drop(*ADDED)
-    kept = docs.columns
     draw = F.xxhash64(F.lit(seed), F.col("doc_id").cast("bigint"), F.coalesce(F.col("text"), F.lit("")))
-    rows = docs.select(F.col("source").cast("string").alias("__s"), draw.alias("__h"), F.struct(*kept).alias("__row"))
+    rows = docs.select(F.col("source").cast("string").alias("__s"), draw.alias("__h"), F.struct(*all_columns(docs)).alias("__row"))
 
     total = docs.count()
     ranges = max(1, -(-total // RANGE_ROWS))

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from contrail.llm.common import body, keyed, unused
+from contrail.llm.common import all_columns, body, keyed, unused
 from contrail.llm.components import components
 from contrail.session import cut_lineage
 
@@ -140,4 +140,4 @@ def keep_one(docs: DataFrame, shingle: int = 4, distance: int = 4) -> DataFrame:
                                                     "row")).alias("first"))
     owned = classes(prints, distance).join(first, "fp")
     kept = owned.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.row").alias(row))
-    return numbered.join(kept, row, "left_semi").select(docs.columns)
+    return numbered.join(kept, row, "left_semi").select(*all_columns(docs))

@@ -21,7 +21,7 @@ def clashing(df):
     """``df`` with extra columns named like columns that operators make."""
     from pyspark.sql import functions as F
     names = ["score", "predicted", "fingerprint", "component_id", "label", "fp", "u", "v", "root", "item_id",
-             "span_start", "spans", "mix_slot", "__row", "n", "page_id2", "start", "end", "x"]
+             "span_start", "spans", "mix_slot", "__row", "n", "page_id2", "start", "end", "x", "a.b", "c`d"]
     return df.withColumns({n: F.lit("kept") for n in names})
 
 

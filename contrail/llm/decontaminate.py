@@ -31,7 +31,7 @@ from contrail.llm.common import body, keyed
 
 #: Characters of test items in one automaton (about 100 bytes of it each).
 BLOCK_CHARS = 1_000_000
-RATE = 0.06
+RATE = 0.08
 FOLD = {ord(c): c.lower() for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"} | dict.fromkeys(map(ord, "\t\n\v\f\r "), " ")
 MATCH = T.ArrayType(T.StructType([T.StructField("item_id", T.LongType()), T.StructField("distance", T.IntegerType()),
                                   T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))

@@ -56,48 +56,45 @@ def _walk_table() -> list[int]:
 STAY = _walk_table()
 
 
-def _sample_steps(octaves: int = 48) -> tuple[list[int], np.ndarray]:
+def _sample_steps(octaves: int = 48) -> tuple[np.ndarray, np.ndarray]:
     """The sampled steps in order and how many steps each stands for."""
     rng, first = np.random.default_rng(6), SAMPLES.bit_length() - 1
     steps, weights = list(range(SAMPLES)), [1.0] * SAMPLES
     for k in range(first, first + octaves - 6):
         steps += sorted(int(x) for x in (1 << k) + rng.integers(0, 1 << k, SAMPLES))
         weights += [(1 << k) / SAMPLES] * SAMPLES
-    return steps, np.array(weights)
+    return np.array(steps), np.array(weights)
 
 
 STEPS, WEIGHTS = _sample_steps()
-DIGITS = [[f"{x:x}" for x in row] for row in np.random.default_rng(7).integers(0, 16, (KINDS, len(STEPS)))]
+#: The hex digit (as ASCII) of each kind at each sampled step.
+DIGITS = np.frombuffer(b"0123456789abcdef", np.uint8)[np.random.default_rng(7).integers(0, 16, (KINDS, len(STEPS)))]
 
 
-def kinds(text: str) -> list[int]:
+def kinds(text: str) -> np.ndarray:
     """Offset of each character's row in the walk table."""
     codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-    return ((codes * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(56)).astype(np.int64) * CYCLE).tolist()
+    return (codes * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(56)).astype(np.int64) * CYCLE
 
 
-def walk(codes: list[int], step: int = 0) -> tuple[list[int], int]:
-    """The step at which each character starts, and the step after the last."""
-    stay, mask, out = STAY, CYCLE - 1, []
-    put = out.append
-    for c in codes:
-        put(step)
-        step += stay[c + (step & mask)]
-    return out, step
+def walk(codes: list[int], step: int = 0) -> list[int]:
+    """The step after each character."""
+    stay, mask = STAY, CYCLE - 1
+    return [step := step + stay[c + (step & mask)] for c in codes]
 
 
-def sampled(codes: list[int], starts: list[int], end: int) -> str:
-    out = []
-    for k, step in enumerate(STEPS):
-        if step >= end:
-            break
-        out.append(DIGITS[codes[bisect_right(starts, step) - 1] // CYCLE][k])
-    return "".join(out)
+def sampled(codes: np.ndarray, ends: list[int], first: int = 0) -> str:
+    """The digits of the samples from ``first`` on that these characters hold."""
+    if not ends:
+        return ""
+    last = int(np.searchsorted(STEPS, ends[-1]))
+    at = np.searchsorted(np.array(ends), STEPS[first:last], side="right")
+    return DIGITS[codes[at] // CYCLE, np.arange(first, last)].tobytes().decode()
 
 
 def fingerprint(text: str) -> str:
     codes = kinds(text)
-    return sampled(codes, *walk(codes))
+    return sampled(codes, walk(codes.tolist()))
 
 
 def likeness(a: str, b: str) -> float:
@@ -114,16 +111,17 @@ class _Document:
 
     def __init__(self, doc_id, text: str):
         self.doc_id, self.text, self.codes = doc_id, text, kinds(text)
-        self.starts, self.end = walk(self.codes)
-        self.print = sampled(self.codes, self.starts, self.end)
+        self.ends = walk(self.codes.tolist())
+        self.print = sampled(self.codes, self.ends)
 
     def row(self, following: "_Document") -> tuple:
+        """The edited text is walked on from where its kept part ends."""
         n = len(self.text)
         kept, half = n - n // 2, n // 2
         more = following.codes[:half]
-        step = self.starts[kept] if kept < n else self.end
-        starts, end = walk(more, step)
-        edited = sampled(self.codes[:kept] + more, self.starts[:kept] + starts, end)
+        step = self.ends[kept - 1] if kept else 0
+        first = int(np.searchsorted(STEPS, step))
+        edited = self.print[:first] + sampled(more, walk(more.tolist(), step), first)
         digest = hashlib.sha256((self.text[:kept] + following.text[:half]).encode("utf-8", "surrogatepass")).hexdigest()
         return (self.doc_id, n, digest, self.print, edited, likeness(self.print, edited),
                 likeness(self.print, following.print))

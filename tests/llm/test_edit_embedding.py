@@ -16,7 +16,7 @@ def brute_print(text):
     for code in ee.kinds(text):
         for _ in range(ee.STAY[code + len(written) % ee.CYCLE]):
             written.append(code // ee.CYCLE)
-    return "".join(ee.DIGITS[written[s]][k] for k, s in enumerate(ee.STEPS) if s < len(written))
+    return "".join(chr(ee.DIGITS[written[s], k]) for k, s in enumerate(ee.STEPS) if s < len(written))
 
 
 def brute(rows):

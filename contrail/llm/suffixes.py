@@ -37,8 +37,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from contrail.llm.common import keyed
 from contrail.session import cut_lineage
@@ -129,6 +131,13 @@ def _bytes(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
 
 
+@F.pandas_udf(T.BinaryType())
+def _packed(texts: pd.Series) -> pd.Series:
+    """Texts compressed for the shuffles of the two joins that move them."""
+    pack = zstandard.ZstdCompressor(level=6).compress
+    return texts.map(lambda t: pack(t.encode("utf-8", "surrogatepass")))
+
+
 def _anchor_rows(span: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -145,8 +154,9 @@ def _anchor_rows(span: int):
 def _start_rows(span: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for row, text, runs in zip(batch["row"], batch["text"], batch["runs"]):
-                data = _bytes(text)
+            unpack = zstandard.ZstdDecompressor().decompress
+            for row, packed, runs in zip(batch["row"], batch["packed"], batch["runs"]):
+                data = np.frombuffer(unpack(packed), np.uint8)
                 wanted = np.unique(np.concatenate([np.arange(r["lo"], r["hi"] + 1) for r in runs]))
                 for at, part in segments(data, span):
                     mine = wanted[(wanted >= at) & (wanted <= at + len(part) - span)] - at
@@ -170,8 +180,9 @@ def _result_rows(span: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
-            for doc, text, runs in zip(batch["doc_id"], batch["text"], batch["runs"]):
-                data = text.encode("utf-8", "surrogatepass")
+            unpack = zstandard.ZstdDecompressor().decompress
+            for doc, packed, runs in zip(batch["doc_id"], batch["packed"], batch["runs"]):
+                data = unpack(packed)
                 runs = [] if runs is None else runs
                 starts = np.array([r["lo"] for r in runs], np.int64)
                 gone, spans, rest = remove(data, starts, np.array([r["hi"] for r in runs], np.int64) + span)
@@ -203,7 +214,8 @@ def repeated_starts(texts: DataFrame, span: int = SPAN) -> DataFrame:
         F.when(F.col("side") == 1, F.col("hi")).otherwise(F.least("hi", split - 1)).alias("hi"))
     # round 3: the remaining starts at the full length
     wanted = rest.groupBy("row").agg(F.collect_list(F.struct("lo", "hi")).alias("runs"))  # of one text
-    starts = cut_lineage(texts.join(wanted, "row").mapInPandas(_start_rows(span), "row long, i long, name long"))
+    packed = texts.select("row", _packed("text").alias("packed"))
+    starts = cut_lineage(packed.join(wanted, "row").mapInPandas(_start_rows(span), "row long, i long, name long"))
     again = starts.groupBy("name").agg(F.count("*").alias("n")).filter("n > 1").select("name")
     return settled.unionByName(starts.join(again, "name").select("row", F.col("i").alias("lo"), F.col("i").alias("hi")))
 
@@ -213,5 +225,6 @@ def remove_repeats(docs: DataFrame, span: int = SPAN) -> DataFrame:
     rows = keyed(docs).withColumn("row", F.monotonically_increasing_id())
     runs = repeated_starts(rows.select("row", "text"), span).groupBy("row").agg(
         F.collect_list(F.struct("lo", "hi")).alias("runs"))  # of one text
-    return rows.join(runs, "row", "left").mapInPandas(
+    packed = rows.select("doc_id", "row", _packed("text").alias("packed"))
+    return packed.join(runs, "row", "left").mapInPandas(
         _result_rows(span), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")

@@ -18,9 +18,21 @@ def body(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
+#: Rows of texts that a Python worker holds at once (Spark bounds the bytes as well).
+BATCH_ROWS = 2_000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lowers the session's Arrow batch size to BATCH_ROWS, where it is larger."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def keyed(docs: DataFrame) -> DataFrame:
     """Only what an operator reads: ``doc_id`` (bigint) and ``text`` (never
     null).  Further columns, whatever their names, are left behind."""
+    small_batches(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), body().alias("text"))
 
 

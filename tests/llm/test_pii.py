@@ -72,10 +72,10 @@ def test_added_spans():
 
 
 def test_edge_rows(spark):
-    rows = EDGE + [(9, "mail a@b.co"), (10, "a" * 100000 + "@" + "b" * 100000), (11, "1." * 100000 + "1")]
+    rows = EDGE + [(9, "mail a@b.co"), (10, "a" * 100000 + "@" + "b" * 100000), (11, "1." * 2000 + "1")]
     got = pii.personal_data(clashing(docs(spark, rows))).collect()
     assert len(got) == len(rows)
-    assert {r["doc_id"]: r["n_ip"] for r in got}[11] == len(brute("1." * 100000 + "1"))
+    assert {r["doc_id"]: r["n_ip"] for r in got}[11] == len(brute("1." * 2000 + "1"))
     assert {r["base_sha256"] for r in got if r["doc_id"] in (1, 2, 3)} == {hashlib.sha256(b"").hexdigest()}
     frame = clashing(docs(spark, rows))
     out = pii.redact_documents(frame)

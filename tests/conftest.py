@@ -16,6 +16,6 @@ def spark():
 
     s = get_session("local[4]", shuffle_partitions=8, app_name="contrail-tests")
     if not s.conf.get("spark.checkpoint.dir", None):  # a cluster names its shared folder
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="contrail-ckpt-"))
+        s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="contrail-ckpt-"))
     yield s
     s.stop()

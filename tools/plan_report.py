@@ -29,7 +29,7 @@ def main() -> None:
 
     spark = get_session("local[8]", shuffle_partitions=16)
     if not spark.conf.get("spark.checkpoint.dir", None):
-        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="contrail-plans-"))
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="contrail-plans-"))
     spark.conf.set("spark.sql.ui.retainedExecutions", "100000")
     if large:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")

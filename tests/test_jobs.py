@@ -7,7 +7,6 @@ import tempfile
 import pytest
 from pyspark.sql import functions as F
 
-from contrail.operators import sampling
 from contrail.plans import jobs
 from contrail.sources import fixtures as fx
 from contrail.sources.tables import table_path

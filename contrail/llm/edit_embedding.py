@@ -23,7 +23,6 @@ document is its own successor.
 from __future__ import annotations
 
 import hashlib
-from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np

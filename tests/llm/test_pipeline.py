@@ -2,7 +2,7 @@ import corpus_pipeline
 from contrail.llm import quality
 
 from helpers import SF_SMALL, clashing, docs, stored, EDGE
-from test_decontaminate import ITEMS, brute as leaks
+from test_decontaminate import ITEMS
 from test_pii import brute as spans
 from test_simhash import brute_print, brute_roots
 from contrail.llm.common import table

@@ -1,4 +1,4 @@
-"""Summarize every plan that each registered query runs.
+"""Summarize every plan that each registered flight and traffic query runs.
 
 Usage: python tools/plan_report.py [sf_dir] [--large]
 
@@ -25,12 +25,11 @@ def main() -> None:
     large = "--large" in args
     args = [a for a in args if a != "--large"]
     sf_dir = args[0] if args else "/root/testdata/sf0.01"
-    import __spark_entry__ as e
+    from contrail.plans import catalog
 
     spark = get_session("local[8]", shuffle_partitions=16)
     if not spark.conf.get("spark.checkpoint.dir", None):
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="contrail-plans-"))
-    spark.conf.set("spark.sql.ui.retainedExecutions", "100000")
     if large:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
         spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
@@ -38,7 +37,7 @@ def main() -> None:
     print("| query | executions | shuffles | SMJ | BHJ | table scans | partial limit | python |")
     print("|---|---|---|---|---|---|---|---|")
     seen = store.executionsCount()
-    for name, build in e.queries().items():
+    for name, build in catalog.queries().items():
         build(spark, sf_dir).write.format("noop").mode("overwrite").save()
         spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(60_000)
         found = store.executionsList(int(seen), 10_000)

@@ -116,8 +116,9 @@ def resolve(records: DataFrame, slices: int | None = None) -> DataFrame:
     found = sources(records, slices)
     bodies = (records.filter("type = 'response' and status = 200 and body is not null")
               .groupBy(F.col("record_id").alias("body_id")).agg(F.max("body").alias("body")))
-    wanted = F.when(found["outcome"] == "resolved", found["source_id"])
-    return found.join(bodies, wanted == bodies["body_id"], "left").drop("body_id")
+    resolved = found["outcome"] == "resolved"
+    wanted = F.when(resolved, found["source_id"]).otherwise(found["record_id"])  # spreads the others, which take no body
+    return found.join(bodies, (wanted == bodies["body_id"]) & resolved, "left").drop("body_id")
 
 
 DAY = 86_400

@@ -129,11 +129,11 @@ def keep_one(docs: DataFrame, shingle: int = 4, distance: int = 4) -> DataFrame:
     """One row of each near-duplicate group, all columns unchanged: the one
     with the smallest id (of rows repeated with that id, the first stored).
 
-    ``docs`` is a stored table: both passes over it number its rows alike.
+    The rows are numbered once, in a written copy that both passes read.
     Groups are found on ids, row numbers and fingerprints alone; whole rows move once, in the
     last join."""
     row = unused("row", docs)
-    numbered = docs.withColumn(row, F.monotonically_increasing_id())
+    numbered = cut_lineage(docs.withColumn(row, F.monotonically_increasing_id()))
     prints = cut_lineage(numbered.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col(row).alias("row"),
                                          fingerprints(shingle)(body()).alias("fp")))
     first = prints.groupBy("fp").agg(F.min(F.struct(F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("i"),

@@ -26,8 +26,9 @@ round is a count by name and a join back.
 
 Defined cases: null text is empty; a text shorter than ``span`` keeps all its
 bytes; matches never cross rows, and a repeated row is another place, so both
-lose the repeat; null ids are carried.  ``docs`` is a stored table: every
-pass over it numbers its rows alike.
+lose the repeat; null ids are carried.  A row's key is a 64-bit hash of its id
+and text, the same in every pass; repeated rows share it, and as all their strings are
+repeats, one set of runs serves them.
 """
 
 from __future__ import annotations
@@ -194,7 +195,7 @@ def _result_rows(span: int):
 
 def repeated_starts(texts: DataFrame, span: int = SPAN) -> DataFrame:
     """(row, lo, hi): runs of the starts of strings that also start elsewhere.
-    ``texts``: row (unique), text."""
+    ``texts``: row (equal only where the texts are, too), text."""
     found = texts.mapInPandas(_anchor_rows(span), "row long, lo long, hi long, a long, whole long, `right` long, `left` long")
     # round 1: the whole stretch of an anchor
     wholes = cut_lineage(found.groupBy("whole").agg(
@@ -222,7 +223,7 @@ def repeated_starts(texts: DataFrame, span: int = SPAN) -> DataFrame:
 
 def remove_repeats(docs: DataFrame, span: int = SPAN) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 for every row."""
-    rows = keyed(docs).withColumn("row", F.monotonically_increasing_id())
+    rows = keyed(docs).withColumn("row", F.xxhash64("doc_id", "text"))
     runs = repeated_starts(rows.select("row", "text"), span).groupBy("row").agg(
         F.collect_list(F.struct("lo", "hi")).alias("runs"))  # of one text
     packed = rows.select("doc_id", "row", _packed("text").alias("packed"))

@@ -72,12 +72,12 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Names:
-    """Karp-Rabin names of the substrings of one segment."""
+    """Karp-Rabin names of the substrings of one segment of bytes, or of 64-bit names."""
 
     def __init__(self, data: np.ndarray):
         up, self.down = powers(len(data))
         self.sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(BYTES[data] * up[:len(data)], out=self.sums[1:])
+        np.cumsum((BYTES[data] if data.dtype == np.uint8 else data) * up[:len(data)], out=self.sums[1:])
 
     def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         value = (self.sums[end] - self.sums[start]) * self.down[start]

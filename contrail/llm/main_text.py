@@ -10,8 +10,10 @@ element say which of their words are main text.  Each kind of element (its
 tag, with a class or id) gets the log odds of its words being main text, and
 each kind of tag a cost by how often it stands outside of the article.  The
 fit reads at most ``sample`` such pages (smallest id hash); only counts by kind
-reach the driver.  Kinds that the sample doesn't have fall back to rules: the
-elements and class words in ``BOILERPLATE`` and ``HINT`` are not main text, wherever they stand.
+reach the driver.  Hidden elements and those in
+``BOILERPLATE`` are not main text, wherever they stand.  The class words in ``HINT`` are a prior:
+an element with one isn't main text unless the sample has it with most of its words inside the article; words for a state
+(``no-sidebar``, ``has-sidebar``) and the classes of ``WHOLE`` elements say nothing.
 
 Defined cases: null html is empty and gives the empty text; null ids and urls
 are carried; repeated rows are extracted one by one; unclosed and stray tags
@@ -48,6 +50,10 @@ HINT = re.compile(r"(?:^|[^a-z])(?:ad|ads|advert\w*|banner|sponsor\w*|promo\w*|c
                   r"comments?|replies|reply|discussion|disqus|share|sharing|social|related|recommend\w*|newsletter|subscribe|"
                   r"signup|login|search|popup|modal|overlay|widget|pagination|pager|copyright|contentinfo|complementary|"
                   r"tags|meta|byline)(?:$|[^a-z])", re.I)
+#: A class that says what the page has or lacks, not what the element is.
+STATE = re.compile(r"(?:[a-z0-9-]+:)*(?:no|not|non|has|have|with|without|hide|hides|show|shows)[-_]", re.I)
+#: Elements that hold the main text, whatever they are called.
+WHOLE = frozenset("html body main article".split())
 #: Scores of a word: in what isn't main text (little, so that an advert inside an
 #: article doesn't split it; its words are left out anyway), unknown, and at most; of a tag.
 BAD, UNKNOWN, MOST = -0.25, 0.75, 1.0
@@ -88,28 +94,32 @@ def pieces(html: str) -> Iterator[tuple[str, str, str, tuple[str, ...]]]:
             yield "open", tag, kind, path
 
 
-def rule(kind: str) -> float | None:
-    """The weight of a kind that the sample doesn't know; None: says nothing."""
+def boilerplate(kind: str) -> bool:
+    return kind == "hidden" or kind.split(".", 1)[0] in BOILERPLATE
+
+
+def hinted(kind: str) -> bool:
+    """Whether a class word says that this isn't main text, as far as no label is known."""
     tag, _, named = kind.partition(".")
-    if tag in BOILERPLATE or kind == "hidden" or named and HINT.search(named):
-        return BAD
-    return None
+    return tag not in WHOLE and any(HINT.search(w) and not STATE.match(w) for w in named.split())
 
 
 class Weights:
     """Scores from counts {(what, kind): (inside, outside)} of labelled pages."""
 
     def __init__(self, counts: dict[tuple[str, str], tuple[int, int]], least: int = 20):
-        self.words, self.tags = {}, {}
+        self.words, self.tags, self.main = {}, {}, set()
         for (what, kind), (inside, outside) in counts.items():
-            if what == "word" and inside + outside >= least and rule(kind) is None:
+            if what == "word" and inside + outside >= least:
                 self.words[kind] = max(BAD, min(MOST, log((inside + 1) / (outside + 1))))
+            elif what == "under" and inside + outside >= least and inside > outside:
+                self.main.add(kind)
             elif what == "tag":
                 self.tags[kind] = -TAG_COST * (outside + 0.1) / (inside + outside + 0.1)
 
     def word(self, path: tuple[str, ...]) -> float:
         """The innermost element that is known decides, unless one around it isn't main text."""
-        if any(rule(k) is not None for k in path):
+        if any(boilerplate(k) or hinted(k) and k not in self.main for k in path):
             return BAD
         return next((self.words[k] for k in reversed(path) if k in self.words), UNKNOWN)
 
@@ -156,8 +166,11 @@ def count_page(html: str) -> list[tuple[str, str, int, int]]:
         inside = any(k.split(".")[0] == "article" for k in path)
         if what == "text":
             n = len(value.split())
-            if n and path and all(rule(k) is None for k in path):  # the rules decide for the others
-                counts["word", path[-1]][not inside] += n
+            if n and path and not any(map(boilerplate, path)):  # that rule decides for the others
+                for kind in filter(hinted, set(path)):
+                    counts["under", kind][not inside] += n
+                if not any(map(hinted, path[:-1])):
+                    counts["word", path[-1]][not inside] += n
         else:
             opened[tag] += what == "open"
             counts["tag", value][not inside or tag == "article"] += 1

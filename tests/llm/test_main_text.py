@@ -54,3 +54,21 @@ def test_scan_finds_the_best_region():
     weights = main_text.Weights({})
     items = "<nav>a b c</nav><p>one two three four</p><nav>x y</nav><p>five six seven</p><nav>q w e r t y</nav><p>z</p>"
     assert weights.extract(items) == "one two three four"
+
+
+def test_class_words_do_not_hide_the_article():
+    words = "one two three four five six seven eight nine ten"
+    rest = f"<nav>menu here</nav><p>{words}</p><div class='sidebar'>to the side of it</div>"
+    for page in (f"<body class='no-sidebar'>{rest}", f"<body class='widget'><div class='has-sidebar content'>{rest}</div>",
+                 f"<body><main class='widget content'>{rest}</main>", f"<body><div class='lg:with-sidebar'>{rest}</div>"):
+        assert main_text.Weights({}).extract(page) == words
+
+
+def test_labels_override_class_words(spark):
+    words = "one two three four five six seven eight nine ten "
+    part = f"<div class='social share'><p>{words}</p></div>"
+    rows = [(i, "u", f"<body><div class='promo'>{words}</div><article>{part * 2}</article><div class='ad'>{words}</div>")
+            for i in range(20)]
+    weights = main_text.fit(spark.createDataFrame(rows, PAGES))
+    page = f"<body><div class='promo'>buy now</div><section>{part}</section><div class='ad'>buy more</div><div class='signup'>x y z</div>"
+    assert weights.extract(page) == words.strip()

@@ -61,9 +61,9 @@ TAG_COST = 0.5
 
 
 def kind_of(tag: str, source: str) -> str:
-    """The tag with its class, id and role; digits don't tell kinds apart."""
+    """The tag with the sorted set of all words of its class, id and role; digits don't tell kinds apart."""
     named = " ".join(next(filter(None, m.groups()[1:]), "") for m in NAMED.finditer(source)).lower()
-    return f"{tag}.{re.sub('[0-9]+', '0', named).strip()[:60]}" if named.strip() else tag
+    return f"{tag}.{' '.join(sorted(set(re.sub('[0-9]+', '0', named).split())))}" if named.strip() else tag
 
 
 def pieces(html: str) -> Iterator[tuple[str, str, str, tuple[str, ...]]]:

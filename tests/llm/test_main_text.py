@@ -72,3 +72,12 @@ def test_labels_override_class_words(spark):
     weights = main_text.fit(spark.createDataFrame(rows, PAGES))
     page = f"<body><div class='promo'>buy now</div><section>{part}</section><div class='ad'>buy more</div><div class='signup'>x y z</div>"
     assert weights.extract(page) == words.strip()
+
+
+def test_long_class_lists_are_read_to_the_end():
+    words, utility = "one two three four five six seven eight nine ten", "flex flex-col w-full max-w-screen-lg mx-auto px-4 py-2 text-sm"
+    page = f"<body><p>{words}</p><div class='{utility} cookie-banner'>we use cookies</div><p>{words}</p>"
+    assert main_text.Weights({}).extract(page) == f"{words}\n{words}"
+    cut = "x" * 56 + " ad"  # 60 characters end in "ad"
+    assert main_text.Weights({}).extract(f"<body><div class='{cut}equate'>{words}</div>") == words
+    assert main_text.kind_of("div", "<div class='b a' id=c1>") == main_text.kind_of("div", "<div id=c2 class='a  b'>")

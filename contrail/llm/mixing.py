@@ -3,19 +3,19 @@
 The documents of each source, in a seeded random order, form blocks of
 ``block`` documents.  With weight w, block j = 0, 1, ... of a source has
 release time floor(j / w) and deadline ceil((j + 1) / w); one block is served
-per time slot, the released one with the earliest deadline.  Weights are
-multiples of 1 / ``period``, so the schedule repeats: it is worked out for one
-period over the sources alone, and every block's slot follows by arithmetic.
+per time slot, the released one with the earliest deadline.  Weights are taken as they
+are, in whole-number arithmetic, and the schedule is worked out block by block on the driver: a few
+numbers for every ``block`` documents.
 After any number of slots each source has been served within less than one
-block of its target, as long as it has blocks; slots of a source that has run
-out stay empty, and no row is dropped or repeated.
+block of its target, as long as it has blocks; a slot in which no block is released
+stays empty, and no row is dropped or repeated.
 
 The rank of a document in its source is a count over hash ranges plus a rank
 inside one range, so no source is ordered in one task, however large.
 
 Target weights are given per source, or default to the square root of the
 source's document count (over all rows).  Only the table of sources, not
-documents, reaches the driver; more than ``MAX_SOURCES`` of them is an error.
+documents, reaches the driver (which makes the table of blocks); more than ``MAX_SOURCES`` of them is an error.
 
 Defined cases: a null source is a source of its own; null ids and texts are
 carried; repeated rows each get a place; no rows give no rows; a given weight
@@ -27,7 +27,11 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Mapping
+from fractions import Fraction
+from math import lcm
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -59,29 +63,43 @@ def quotas(weights: Mapping, period: int) -> dict:
     return out
 
 
+def serve(weights: Mapping, blocks: Mapping) -> pd.DataFrame:
+    """k (source, in the order of ``weights``), j (block), slot, release and deadline of every
+    block; sources have ``blocks`` blocks and exactly the shares of ``weights``."""
+    exact = [Fraction(w) for w in weights.values()]
+    unit = lcm(*(w.denominator for w in exact))
+    share, left = [int(w * unit) for w in exact], [blocks[s] for s in weights]
+    total = sum(share)
+    out = np.empty((5, sum(left)), np.int64)
+    waiting = [(0, k, 0) for k, n in enumerate(left) if n]
+    ready, t = [], 0
+    for place in range(out.shape[1]):
+        if not ready and waiting[0][0] > t:
+            t = waiting[0][0]
+        while waiting and waiting[0][0] <= t:
+            release, k, j = heapq.heappop(waiting)
+            heapq.heappush(ready, (-(-(j + 1) * total // share[k]), k, j, release))
+        deadline, k, j, release = heapq.heappop(ready)
+        assert t < deadline
+        out[:, place] = k, j, t, release, deadline
+        if j + 1 < left[k]:
+            heapq.heappush(waiting, ((j + 1) * total // share[k], k, j + 1))
+        t += 1
+    return pd.DataFrame(dict(zip(("k", "j", "slot", "release", "deadline"), out)))
+
+
 def earliest_deadline_first(slots: Mapping) -> list[tuple]:
     """(source, block in the period, slot) of one period; the values of
     ``slots`` add up to the period's length."""
-    period, order = sum(slots.values()), list(slots)
-    waiting = [[] for _ in range(period)]
-    for i, s in enumerate(order):
-        for j in range(slots[s]):
-            waiting[j * period // slots[s]].append((-(-(j + 1) * period // slots[s]), i, j))
-    ready, out = [], []
-    for t in range(period):
-        for job in waiting[t]:
-            heapq.heappush(ready, job)
-        deadline, i, j = heapq.heappop(ready)
-        assert t < deadline
-        out.append((order[i], j, t))
-    return out
+    order, plan = list(slots), serve(slots, slots)
+    return [(order[k], j, t) for k, j, t in zip(plan["k"], plan["j"], plan["slot"])]
 
 
 def mix(docs: DataFrame, weights: Mapping | None = None, block: int = 16, period: int = 1000,
         seed: int = 42) -> DataFrame:
     """``docs`` with mix_source, mix_block, mix_release, mix_deadline,
     mix_slot and mix_rank (place in the block): the mix is the rows ordered by
-    (mix_slot, mix_rank).  Whole rows move once."""
+    (mix_slot, mix_rank).  Whole rows move once.  ``period`` no longer matters: weights aren't rounded."""
     spark = docs.sparkSession
     docs = docs.drop(*ADDED)
     draw = F.xxhash64(F.lit(seed), F.col("doc_id").cast("bigint"), F.coalesce(F.col("text"), F.lit("")))
@@ -101,10 +119,12 @@ def mix(docs: DataFrame, weights: Mapping | None = None, block: int = 16, period
     if missing := [s for s in sizes if not weights.get(s)]:
         raise ValueError(f"no weight for {missing[:5]}")
     weights = {s: w for s, w in weights.items() if s in sizes} or {"": 1.0}
-    slots = quotas(weights, max(period, 4 * len(weights)))
-    length = sum(slots.values())
-    plan = spark.createDataFrame([(s, j, t, slots[s]) for s, j, t in earliest_deadline_first(slots)],
-                                 "__s string, __j bigint, __t bigint, __n bigint")  # `period` rows
+    if min(weights.values()) < 0:
+        raise ValueError("weights: not negative")
+    weights = {s: weights[s] for s in sorted(weights, key=lambda s: (s is None, s or ""))}
+    served = serve(weights, {s: -(-sizes.get(s, 0) // block) for s in weights})
+    # written, so that the planner knows its size
+    plan = cut_lineage(spark.createDataFrame(served, "__k bigint, __j bigint, __t bigint, __rel bigint, __due bigint"))
 
     before = Window.partitionBy("__s").orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("__s", "__p", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__o"))
@@ -113,16 +133,13 @@ def mix(docs: DataFrame, weights: Mapping | None = None, block: int = 16, period
     same = ranked["__s"].eqNullSafe(offsets["__s"]) & (ranked["__p"] == offsets["__p"])
     placed = (ranked.join(offsets, same).select(ranked["__s"], "__row", (F.col("__r") + F.col("__o")).alias("__r"))
               .withColumn("__b", F.floor(F.col("__r") / block)))
-    share = spark.createDataFrame([(s, n) for s, n in slots.items()], "__s string, __n bigint")
+    share = spark.createDataFrame([(s, k) for k, s in enumerate(weights)], "__s string, __k bigint")
     sized = placed.join(F.broadcast(share), placed["__s"].eqNullSafe(share["__s"])).select(
-        placed["__s"], "__row", "__r", "__b", "__n", (F.col("__b") % F.col("__n")).alias("__j"))
-    on = sized["__s"].eqNullSafe(plan["__s"]) & (sized["__j"] == plan["__j"])
-    b, n, p = F.col("__b"), sized["__n"], F.lit(length)
-    return sized.join(F.broadcast(plan), on).select(
-        "__row.*", sized["__s"].alias("mix_source"), b.alias("mix_block"),
-        F.floor(b * p / n).alias("mix_release"),
-        F.ceil((b + 1) * p / n).alias("mix_deadline"),
-        (F.floor(b / n) * p + F.col("__t")).alias("mix_slot"), (F.col("__r") % block).alias("mix_rank"))
+        placed["__s"], "__row", "__r", "__b", "__k")
+    return sized.join(plan, (sized["__k"] == plan["__k"]) & (sized["__b"] == plan["__j"])).select(
+        "__row.*", sized["__s"].alias("mix_source"), F.col("__b").alias("mix_block"),
+        F.col("__rel").alias("mix_release"), F.col("__due").alias("mix_deadline"),
+        F.col("__t").alias("mix_slot"), (F.col("__r") % block).alias("mix_rank"))
 
 
 def schedule(docs: DataFrame, **options) -> DataFrame:

@@ -81,3 +81,17 @@ def test_edge_rows(spark):
     assert mixing.mix(docs(spark, [])).count() == 0
     with pytest.raises(ValueError):
         mixing.mix(docs(spark, EDGE), weights={"other": 1})
+
+
+def test_long_schedule_keeps_to_the_unrounded_weights(spark):
+    weights = {"a": 0.00012, "b": 2 ** 0.5, "c": 3 ** 0.5, "d": 0.1}
+    size = {"a": 2, "b": 5200, "c": 6400, "d": 360}
+    rows = [(i, "t", s) for i, s in enumerate(s for s, n in size.items() for _ in range(n))]
+    got = mixing.schedule(docs(spark, rows), weights=weights, block=1).collect()
+    at = {s: sorted(r["mix_slot"] for r in got if r["mix_source"] == s) for s in size}
+    total = sum(weights.values())
+    assert len({r["mix_slot"] for r in got}) == len(rows)
+    for s, slots in at.items():
+        assert len(slots) == size[s]
+        for j, t in enumerate(slots):  # j served before slot t, j + 1 after it
+            assert abs(j - weights[s] / total * t) < 1 and abs(j + 1 - weights[s] / total * (t + 1)) < 1

@@ -186,14 +186,24 @@ def _counts(pages: pd.Series) -> pd.Series:
     return pages.map(lambda h: [dict(zip(COUNTS.elementType.names, x)) for x in count_page(h)])
 
 
+@F.pandas_udf(T.BooleanType())
+def _labelled(pages: pd.Series) -> pd.Series:
+    """Whether a page has exactly one opening <article>."""
+    def one(html: str) -> bool:
+        opened = (TAG.match(m.group()) for m in TOKEN.finditer(html) if m.group()[0] == "<" and not m.group(1))
+        return sum(t is not None and not t.group(1) and t.group(2).lower() == "article" for t in opened) == 1
+    return pages.map(one)
+
+
 def fit(pages: DataFrame, sample: int = 600) -> Weights:
-    """Weights from at most ``sample`` pages."""
-    ids = pages.select("page_id").filter("page_id is not null").distinct().orderBy(
+    """Weights from at most ``sample`` labelled pages."""
+    ids = pages.filter("page_id is not null and lower(html) like '%<article%'").filter(_labelled("html")).select(
+        "page_id").distinct().orderBy(
         F.xxhash64("page_id"), "page_id").limit(sample)
     read = pages.select("page_id", F.coalesce("html", F.lit("")).alias("html")).join(
         F.broadcast(ids), "page_id", "left_semi")  # at most `sample` ids
     rows = read.select(F.inline(_counts("html"))).groupBy("what", "kind").agg(
-        F.sum("inside"), F.sum("outside")).orderBy(F.sum("inside") + F.sum("outside"), ascending=False).limit(5000).collect()
+        F.sum("inside"), F.sum("outside")).collect()  # kinds of at most `sample` pages
     return Weights({(r[0], r[1]): (r[2], r[3]) for r in rows})
 
 

@@ -81,3 +81,11 @@ def test_long_class_lists_are_read_to_the_end():
     cut = "x" * 56 + " ad"  # 60 characters end in "ad"
     assert main_text.Weights({}).extract(f"<body><div class='{cut}equate'>{words}</div>") == words
     assert main_text.kind_of("div", "<div class='b a' id=c1>") == main_text.kind_of("div", "<div id=c2 class='a  b'>")
+
+
+def test_few_labelled_pages_are_all_used(spark):
+    words = "one two three four five six seven eight nine ten "
+    one = f"<section>{words}</section><article><div class='story'>{words}</div></article>"
+    rows = [(i, "u", one if i % 50 == 0 else one + "<article>x</article>" if i % 2 else f"<section>{words}</section>") for i in range(1000)]
+    weights = main_text.fit(spark.createDataFrame(rows, PAGES), sample=20)
+    assert weights.words["div.story"] > 0 > weights.words["section"]

@@ -11,7 +11,7 @@ from contrail.plans import jobs
 from contrail.sources import fixtures as fx
 from contrail.sources.tables import table_path
 
-from conftest import SF_SMALL
+from driver_tables import SF_SMALL
 
 SMALL = {"n_estimators": 6, "max_depth": 4, "min_child_samples": 5, "seed": 1}
 

@@ -13,7 +13,7 @@ from tools.oracle_check import rows_of
 from contrail.plans import catalog
 from contrail.sources.tables import DRIVER_TABLES, table_path
 
-from conftest import SF_SMALL
+from driver_tables import SF_SMALL
 
 NAMES = sorted(catalog.queries())
 SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",

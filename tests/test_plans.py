@@ -7,7 +7,7 @@ import pytest
 import __spark_entry__ as entry
 from contrail.plans import catalog
 
-from conftest import SF_SMALL
+from driver_tables import SF_SMALL
 
 NAMES = sorted(n for n in catalog.queries() if n != "delay_scoring")
 

@@ -10,7 +10,7 @@ from contrail.operators import learn, sampling, traffic
 from contrail.sources import fixtures as fx
 from contrail.streaming import request_log, score_stream, traffic_stream
 
-from conftest import SF_SMALL
+from driver_tables import SF_SMALL
 
 
 @pytest.fixture(scope="module")

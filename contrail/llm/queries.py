@@ -6,7 +6,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contrail.llm import decontaminate, edit_embedding, main_text, mixing, passages, pii, quality, simhash, suffixes, warc
+from contrail.llm import (
+    decontaminate, edit_embedding, main_text, manifest, mixing, oracle, passages, pii, quality, simhash, suffixes, warc,
+)
 from contrail.llm.common import table
 
 
@@ -53,9 +55,13 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_merkle_proofs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.proofs(table(spark, sf_dir, "documents"), manifest.tamperings())
+
+
 QUERIES = {f.__name__: f for f in (
     op1_fuzzy_passages, op2_source_mix, op3_personal_data, op4_main_text, op5_edit_fingerprints, op6_decontaminate,
-    op7_revisits, op8_simhash_groups, op9_repeated_bytes, op10_quality)}
+    op7_revisits, op8_simhash_groups, op9_repeated_bytes, op10_quality, op11_merkle_proofs)}
 
 #: DuckDB SQL of the queries that SQL can express.
 ORACLE_SQL = {"op7_revisits": r"""
@@ -89,4 +95,6 @@ SELECT record_id, url_key, captured_at,
   CASE WHEN outcome = 'resolved' THEN length(s.body) END AS n_chars,
   CASE WHEN outcome = 'resolved' THEN sha256(s.body) END AS body_sha256
 FROM found WHERE body IS NULL
-"""}
+""",
+    "op11_merkle_proofs": oracle.MERKLE_PROOFS,
+}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from contrail.llm import manifest
+from contrail.llm import manifest, urls
 
 #: CRC-32 for a DuckDB without one: ``tab`` holds the remainder of every byte value.
 CRC_TABLE = """crc_table AS (SELECT list_transform(range(256), lambda i: list_reduce(range(8),
@@ -52,3 +52,57 @@ climb AS (SELECT doc_id, leaf, sub.h AS subroot, sub.place, 0 AS level, sib, f F
 SELECT doc_id, leaf, subroot, r.h AS root, sha256(sib) AS proof_sha256, f AS folded_root, f = r.h AS verified
 FROM climb c JOIN top r ON r.level = c.level AND r.n = 1
 """
+
+
+def _cut(source: str) -> str:
+    """``source`` (a table with url) with host and path, as CTEs ``rest_<source>`` and ``cut_<source>``."""
+    return f"""rest_{source} AS (SELECT *, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) END AS rest FROM {source}),
+cut_{source} AS (SELECT *,
+  coalesce(translate(regexp_extract(rest, '^([^/?#]*)', 1), '{urls.CAPITALS}', '{urls.SMALL_LETTERS}'), '') AS host,
+  coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path FROM rest_{source})"""
+
+
+def _features() -> str:
+    def grams(column: str, mark: str, n: int) -> str:
+        text = f"('^' || {column} || '$')"
+        return f"list_transform(range(1, length({text}) - {n - 2}), lambda i: '{mark}' || substr({text}, i, {n}))"
+    every = [grams(c, mark, n) for c, mark in (("host", "h"), ("path", "p")) for n in urls.GRAMS]
+    return ("list_sort(list_distinct(list_transform(" + " || ".join(every)
+            + ", lambda g: ('0x' || substr(md5(g), 1, 4))::INTEGER)))")
+
+
+def _rule(what: int) -> str:
+    whens = []
+    for kind, rule in sorted(urls.RULES, key=lambda r: -len(r[1])):
+        name, slash, start = rule.partition("/")
+        whens.append(f"WHEN (host = '{name}' OR ends_with(host, '.{name}')) AND starts_with(path, '{slash + start}') "
+                     f"THEN '{(rule, kind)[what]}'")
+    return f"CASE {' '.join(whens)} END"
+
+
+_LABELLED = ", ".join(f"('{u}', {y})" for u, y in urls.LABELLED)
+
+URL_VERDICTS = f"""
+WITH RECURSIVE labelled AS (SELECT url, max(y)::DOUBLE AS y FROM (VALUES {_LABELLED}) t(url, y) GROUP BY url),
+{_cut("labelled")},
+seen AS (SELECT list(y ORDER BY url) AS y, list({_features()} ORDER BY url) AS xs, count(*) AS n FROM cut_labelled),
+products AS MATERIALIZED (SELECT y, xs, n, list_transform(xs, lambda p: list_transform(xs, lambda q:
+    length(list_intersect(p, q)) / sqrt(length(p) * length(q)) + {urls.CONSTANT ** 2}::DOUBLE)) AS m FROM seen),
+fit AS (SELECT 0 AS t, list_transform(y, lambda v: 0::DOUBLE) AS a FROM products
+  UNION ALL SELECT t + 1, list_transform(m, lambda p, i: a[i] * {1 - urls.RATE * urls.RIDGE}::DOUBLE + {urls.RATE}::DOUBLE / n
+    * (y[i] - 1 / (1 + exp(-list_dot_product(p, a)))))
+  FROM fit, products WHERE t < {urls.STEPS}),
+share AS (SELECT unnest(list_transform(range(1, n + 1), lambda i: {{'x': xs[i], 'a': a[i]}})) AS r
+  FROM fit, products WHERE t = {urls.STEPS}),
+weight AS (SELECT b, sum(w) AS w FROM (SELECT unnest(r.x) AS b, r.a / sqrt(length(r.x)) AS w FROM share) GROUP BY b),
+constant AS (SELECT sum(r.a) * {urls.CONSTANT ** 2}::DOUBLE AS c FROM share),
+page AS (SELECT page_id, url, row_number() OVER () AS r FROM pages),
+{_cut("page")},
+judged AS (SELECT r, any_value(length(x)) AS n, sum(weight.w) AS s
+  FROM (SELECT r, x, unnest(x) AS b FROM (SELECT r, {_features()} AS x FROM cut_page)) LEFT JOIN weight USING (b) GROUP BY r),
+scored AS (SELECT page_id, host, path, {_rule(0)} AS rule, {_rule(1)} AS ruled,
+  round(1 / (1 + exp(-(coalesce(s, 0) / sqrt(greatest(coalesce(n, 0), 1)) + c))), 6) AS score
+  FROM cut_page LEFT JOIN judged USING (r), constant)
+SELECT page_id, host, path, rule, coalesce(ruled, CASE WHEN score >= 0.5 THEN 'block' ELSE 'allow' END) AS verdict, score
+FROM scored
+"""

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contrail.llm import (
-    decontaminate, edit_embedding, main_text, manifest, mixing, oracle, passages, pii, quality, simhash, suffixes, warc,
+    decontaminate, edit_embedding, main_text, manifest, mixing, oracle, passages, pii, quality, simhash, suffixes, urls, warc,
 )
 from contrail.llm.common import table
 
@@ -59,9 +59,14 @@ def op11_merkle_proofs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.proofs(table(spark, sf_dir, "documents"), manifest.tamperings())
 
 
+def op12_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_fuzzy_passages, op2_source_mix, op3_personal_data, op4_main_text, op5_edit_fingerprints, op6_decontaminate,
-    op7_revisits, op8_simhash_groups, op9_repeated_bytes, op10_quality, op11_merkle_proofs)}
+    op7_revisits, op8_simhash_groups, op9_repeated_bytes, op10_quality, op11_merkle_proofs,
+    op12_url_filter)}
 
 #: DuckDB SQL of the queries that SQL can express.
 ORACLE_SQL = {"op7_revisits": r"""
@@ -97,4 +102,5 @@ SELECT record_id, url_key, captured_at,
 FROM found WHERE body IS NULL
 """,
     "op11_merkle_proofs": oracle.MERKLE_PROOFS,
+    "op12_url_filter": oracle.URL_VERDICTS,
 }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from contrail.llm import manifest, urls
+from contrail.llm import manifest, spelling, urls
 
 #: CRC-32 for a DuckDB without one: ``tab`` holds the remainder of every byte value.
 CRC_TABLE = """crc_table AS (SELECT list_transform(range(256), lambda i: list_reduce(range(8),
@@ -106,3 +106,26 @@ scored AS (SELECT page_id, host, path, {_rule(0)} AS rule, {_rule(1)} AS ruled,
 SELECT page_id, host, path, rule, coalesce(ruled, CASE WHEN score >= 0.5 THEN 'block' ELSE 'allow' END) AS verdict, score
 FROM scored
 """
+
+SPELLING_VARIANTS = f"""
+WITH RECURSIVE {CRC_TABLE},
+run AS (SELECT id, run, count(*) AS c FROM (SELECT doc_id::VARCHAR AS id,
+    unnest(regexp_extract_all(translate(text, '{urls.CAPITALS}', '{urls.SMALL_LETTERS}'), '[a-z\\x{{00C0}}-\\x{{00FF}}]+')) AS run FROM documents)
+  GROUP BY ALL),
+drawn AS (SELECT run, c, {crc32("coalesce(id, '') || ':' || run")} AS h FROM run, crc_table),
+slipped AS (SELECT CASE WHEN h % {spelling.SLIP} = 0
+    THEN substr(run, 1, (h % length(run))::BIGINT) || substr(run, (h % length(run))::BIGINT + 2) ELSE run END AS word, c FROM drawn),
+word AS (SELECT word, sum(c)::BIGINT AS n FROM slipped WHERE length(word) >= {spelling.SHORTEST} GROUP BY word HAVING sum(c) >= {spelling.RAREST}),
+cut AS (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM word)),
+near AS (SELECT DISTINCT a.word, b.word AS other, b.n FROM cut a JOIN cut b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM cut a JOIN word b ON a.rest = b.word
+  UNION SELECT b.word, a.word, a.n FROM cut a JOIN word b ON a.rest = b.word),
+best AS (SELECT word, count(*) AS n_near, min((-n, other)) AS m FROM near GROUP BY word),
+led AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near,
+    CASE WHEN -m[1] >= {spelling.FACTOR} * w.n THEN m[2] END AS form, CASE WHEN -m[1] >= {spelling.FACTOR} * w.n THEN -m[1] END AS form_n
+  FROM word w LEFT JOIN best USING (word)),
+chain AS (SELECT word, word AS root FROM led WHERE form IS NULL
+  UNION ALL SELECT l.word, c.root FROM led l JOIN chain c ON l.form = c.word)
+SELECT word, form, root, n, n_near, form_n FROM led JOIN chain USING (word)
+"""

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contrail.llm import (
-    decontaminate, edit_embedding, main_text, manifest, mixing, oracle, passages, pii, quality, simhash, suffixes, urls, warc,
+    decontaminate, edit_embedding, main_text, manifest, mixing, oracle, passages, pii, quality, simhash, spelling, suffixes, urls, warc,
 )
 from contrail.llm.common import table
 
@@ -63,10 +63,14 @@ def op12_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"))
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_fuzzy_passages, op2_source_mix, op3_personal_data, op4_main_text, op5_edit_fingerprints, op6_decontaminate,
     op7_revisits, op8_simhash_groups, op9_repeated_bytes, op10_quality, op11_merkle_proofs,
-    op12_url_filter)}
+    op12_url_filter, op13_spelling_variants)}
 
 #: DuckDB SQL of the queries that SQL can express.
 ORACLE_SQL = {"op7_revisits": r"""
@@ -103,4 +107,5 @@ FROM found WHERE body IS NULL
 """,
     "op11_merkle_proofs": oracle.MERKLE_PROOFS,
     "op12_url_filter": oracle.URL_VERDICTS,
+    "op13_spelling_variants": oracle.SPELLING_VARIANTS,
 }

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as _dt
+import os
+import re
 import uuid
 from collections.abc import Mapping, Sequence
 
@@ -45,12 +47,16 @@ RUN_SCHEMA = T.StructType([
 def log_run(spark: SparkSession, path: str, experiment: str, run_name: str,
             params: Mapping[str, object], metrics: Mapping[str, object],
             data_version: str | None = None, data_fingerprint: str | None = None,
-            status: str = "FINISHED") -> DataFrame:
+            status: str = "FINISHED", run_id: str | None = None) -> DataFrame:
     """Append one run to the run-log table at ``path``.
 
-    Only int/float metrics are kept; nested per-class values are flattened as
-    ``name.key``.  Params are stored as text.
+    A run lies in a folder named by its id, which a repeated call replaces:
+    with a given ``run_id`` a retry leaves one row.  Only int/float metrics are
+    kept; nested per-class values are flattened as ``name.key``.  Params are stored as text.
     """
+    run_id = run_id or uuid.uuid4().hex
+    if not re.fullmatch(r"[A-Za-z0-9_-]+", run_id):
+        raise ValueError("run_id: letters, digits, - and _ only")
     flat: dict[str, float] = {}
     for k, v in metrics.items():
         if isinstance(v, Mapping):
@@ -59,13 +65,40 @@ def log_run(spark: SparkSession, path: str, experiment: str, run_name: str,
                     flat[f"{k}.{kk}"] = float(vv)
         elif isinstance(v, (int, float)) and not isinstance(v, bool):
             flat[k] = float(v)
-    row = (uuid.uuid4().hex, experiment, run_name, status, _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None),
+    row = (run_id, experiment, run_name, status, _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None),
            data_version, data_fingerprint, {k: str(v) for k, v in params.items()}, flat)
     one = spark.createDataFrame([row], RUN_SCHEMA)
-    one.write.mode("append").parquet(path)
+    one.write.mode("overwrite").parquet(os.path.join(path, f"part=run-{run_id}"))
     return one
 
 
+def read_runs(spark: SparkSession, path: str) -> DataFrame:
+    """The run log at ``path``, one row a run.  A run that lies in a compacted
+    part as well as in its own folder - a compaction that did not come to its end - counts once."""
+    runs = spark.read.schema(T.StructType([*RUN_SCHEMA, T.StructField("part", T.StringType())])).parquet(path)
+    # a run's own folder is the later word on it; of compacted parts the larger name
+    own = F.startswith("part", F.lit("run-")).cast("int")
+    return runs.groupBy("run_id").agg(F.max_by(F.struct(*RUN_SCHEMA.names), F.struct(own, "part")).alias("r")).select("r.*")
+
+
+def compact_runs(spark: SparkSession, path: str) -> int:
+    """Put the folders of single runs together into one part; returns their
+    number.  The part is written as a whole before the folders go, so a job that ends in
+    between loses and repeats nothing (see ``read_runs``)."""
+    sc = spark.sparkContext
+    root = sc._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(sc._jsc.hadoopConfiguration())
+    old = [s.getPath() for s in fs.listStatus(root) if s.getPath().getName().startswith("part=run-")
+           and fs.exists(sc._jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS"))]
+    if old:
+        now = spark.read.schema(RUN_SCHEMA).parquet(*[p.toString() for p in old])
+        stamp = _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%dT%H%M%S%f")
+        now.coalesce(1).write.parquet(os.path.join(path, f"part=compact-{stamp}"))
+        for p in old:
+            fs.delete(p, True)
+    return len(old)
+
+
 def metric_deltas(runs: DataFrame, experiment: str = "experiment", run_id: str = "run_id",
                   start: str = "start_time", metrics: str = "metrics") -> DataFrame:
     """Change of every metric between consecutive runs of an experiment (R2),

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from contrail.plans import (  # noqa: F401
-    catalog_boosting, catalog_features, catalog_io, catalog_models, catalog_profiles, catalog_traffic,
+    catalog_boosting, catalog_features, catalog_io, catalog_models, catalog_profiles, catalog_streaming,
+    catalog_traffic,
 )
 from contrail.plans.registry import REGISTRY
 

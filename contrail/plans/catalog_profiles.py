@@ -121,12 +121,6 @@ def compare_versions(spark, d):
     return profile.compare_versions(fx.dataset_versions(spark, d, STATS_COLS), "v0", "v1")
 
 
-@query("dataset_versions", ("S4",), sql=with_views("dataset_versions") + """
-SELECT version, flight_id, is_significant_delay, delay_reason FROM dataset_versions""")
-def dataset_versions(spark, d):
-    return fx.dataset_versions(spark, d).select("version", "flight_id", "is_significant_delay", "delay_reason")
-
-
 _FP_TEXT = " || ".join(f"coalesce(length(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')" for c in FP_COLS)
 _FP_SQL = f"""
 SELECT version, count(*) AS n_rows,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -67,10 +68,24 @@ def union_versions(versions: Mapping[str, DataFrame], version_col: str = "versio
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
 
 
-def read_versions(spark: SparkSession, paths: Mapping[str, str], fmt: str = "parquet",
-                  version_col: str = "version") -> DataFrame:
-    """One scan per stored version, tagged and unioned."""
-    return union_versions({v: spark.read.format(fmt).load(p) for v, p in paths.items()}, version_col)
+def read_versions(spark: SparkSession, paths: Mapping[str, str], version_col: str = "version") -> DataFrame:
+    """Stored Parquet versions of one dataset in one scan.
+
+    The schemas are merged by column name (a column that a version lacks is
+    NULL there), and every row's version comes from the file it was read
+    from, so pruning and pushed filters reach all versions alike."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    folders = {}
+    for version, path in paths.items():
+        where = jvm.org.apache.hadoop.fs.Path(path)
+        folders[version] = where.getFileSystem(conf).makeQualified(where).toUri().toString().rstrip("/") + "/"
+    file, tag = F.col("_metadata.file_path"), F.lit(None).cast("string")
+    # as URIs: file:/x and file:///x name one folder; a nested folder wins over the one above it
+    plain = F.regexp_replace(file, "^([a-z0-9+.-]+):/+", "$1:/")
+    for version, folder in sorted(folders.items(), key=lambda f: len(f[1])):
+        tag = F.when(F.startswith(plain, F.lit(re.sub("^([a-z0-9+.-]+):/+", r"\1:/", folder))), version).otherwise(tag)
+    return spark.read.option("mergeSchema", "true").parquet(*paths.values()).withColumn(version_col, tag)
 
 
 def source_stats(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:

@@ -3,7 +3,8 @@
 The batch operators in ``contrail.operators.traffic`` are plain windowed
 aggregations, so they run unchanged on a streaming DataFrame once a
 watermark is set.  ``withWatermark`` needs a TIMESTAMP column, while parquet
-event times read as TIMESTAMP_NTZ: the column is cast first (UTC session).
+event times read as TIMESTAMP_NTZ: their wall clock is taken as UTC, whatever
+the session's time zone.
 In append mode a window is emitted once the watermark passes its end.
 """
 
@@ -12,11 +13,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from contrail.functions.calendar import epoch_micros
 from contrail.operators import traffic
 
 
 def with_event_time(stream: DataFrame, ts: str = "ts", watermark: str = "10 minutes") -> DataFrame:
-    return stream.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, watermark)
+    ntz = dict(stream.dtypes)[ts] == "timestamp_ntz"
+    at = F.timestamp_micros(epoch_micros(ts, True)) if ntz else F.col(ts).cast("timestamp")
+    return stream.withColumn(ts, at).withWatermark(ts, watermark)
 
 
 def request_log(events: DataFrame) -> DataFrame:

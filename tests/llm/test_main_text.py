@@ -1,6 +1,9 @@
 import re
 from html import unescape
 
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
 from contrail.llm import main_text
 from contrail.llm.common import table
 
@@ -89,3 +92,89 @@ def test_few_labelled_pages_are_all_used(spark):
     rows = [(i, "u", one if i % 50 == 0 else one + "<article>x</article>" if i % 2 else f"<section>{words}</section>") for i in range(1000)]
     weights = main_text.fit(spark.createDataFrame(rows, PAGES), sample=20)
     assert weights.words["div.story"] > 0 > weights.words["section"]
+
+
+BODY = "First para of the story with quite a few plain words in it. Second one follows here with more of them."
+
+
+def only(page):
+    return main_text.Weights({}).extract(page)
+
+
+def test_class_and_state_of_inline_and_loose_elements_count():
+    for tag in ("p", "span", "li", "td", "b", "dd", "h2"):
+        for said in ("class='advert'", "hidden", "class=ad", "id='cookie-notice'", "role=navigation", "style='display:none'"):
+            page = f"<body><div><p>{BODY}</p><{tag} {said}>buy this now or else</{tag}><p>{BODY}</p></div>"
+            assert only(page) == f"{BODY}\n{BODY}", page
+    # they end with their successor, their block or the next block
+    assert only(f"<body><p class=ad>buy this<p>{BODY}<ul><li class=share>send it<li>{BODY}</ul>") == f"{BODY}\n{BODY}"
+    assert only(f"<body><p class=ad>buy this<div>{BODY}</div>") == BODY
+    assert only(f"<body><div><span class=ad>buy this</div><p>{BODY}</p>") == BODY
+    assert only(f"<body><table><tr><td class=sidebar>links<td>{BODY}<tr><td>{BODY}</table>") == f"{BODY}\n{BODY}"
+
+
+def test_broken_and_odd_attributes():
+    for attribute in ("title=it's", "title='it''s'", 'title="a > b"', "title='x \"y\" z'", "data-a='<b>x</b>'", "a=b=c", "title = \"q\"",
+                      "onclick=f('x')", "disabled", "title=5\"", "data-x=\"" + "y>" * 900 + "\""):
+        assert only(f"<body><p {attribute}>{BODY}</p>") == BODY, attribute
+    assert only(f"<body><p title=\"x>{BODY}</p><p class=\"y\">{BODY}</p>") == f"{BODY}\n{BODY}"
+    assert only(f"<body><p title='x>{BODY}</p><a href='y'>{BODY}</a>") == f"{BODY}\n{BODY}"
+    assert only(f"<body><p>{BODY} 3 < 4 and a<b is less</p>".replace("a<b", "a &lt; b")) == f"{BODY} 3 < 4 and a < b is less"
+
+
+def test_articles_in_forms_and_after_unclosed_menus():
+    article = f"<article><p>{BODY}</p></article>"
+    assert only(f"<body><form id='aspnetForm'><div>{article}</div><label>your name</label></form>") == BODY
+    assert only(f"<body><nav><a>home</a><a>about</a>{article}<footer>legal") == BODY
+    assert only(f"<body><header><h1>site</h1><aside>x y<main><p>{BODY}</p></main>") == BODY
+    # closed ones keep what they hold
+    assert only(f"<body><aside><article>a teaser of another story</article></aside><main><p>{BODY}</p></main>") == BODY
+    assert only(f"<body><main><p>{BODY}</p><form><p>name please</p></form></main>") == BODY
+
+
+def test_hints_are_whole_words():
+    for named in ("side-effects", "shared-memory", "admin", "header-files-explained", "alerting-rules", "metadata", "commentary"):
+        assert only(f"<body><div class='{named}'><p>{BODY}</p></div>") == BODY, named
+    for named in ("cookie-notice", "ad_slot", "left-sidebar", "comment-list", "site-footer", "share-buttons", "advertisement", "nav2"):
+        assert only(f"<body><p>{BODY}</p><div class='{named}'>other things said</div>") == BODY, named
+
+
+def test_labels_override_boilerplate_around_articles_only(spark):
+    words = "one two three four five six seven eight nine ten "
+    rows = [(i, "u", f"<body><nav>menu</nav><dialog class=page><article><p>{words * 3}</p><aside>{words}</aside></article></dialog>")
+            for i in range(30)]
+    weights = main_text.fit(spark.createDataFrame(rows, PAGES))
+    assert weights.extract(f"<body><nav>x y z</nav><dialog class=page><p>{BODY}</p><aside>not this</aside></dialog>") == BODY
+
+
+def test_deep_and_broken_nesting_in_proportion():
+    import time
+    for page in ("<div>" * 100_000, "<div>" * 50_000 + "x" + "</div>" * 50_000, "<p class=ad>" * 50_000, "<b class=ad>" * 100_000,
+                 "<p title=\"x>" * 20_000, "<div></p></span>" * 30_000, "<nav>" * 30_000 + "<article>" * 30_000, "<a b='" * 30_000):
+        began = time.process_time()
+        only(page)
+        assert time.process_time() - began < 10, page[:20]
+
+
+def every_region(scores):
+    return max([0.0] + [sum(scores[i:j]) for i in range(len(scores)) for j in range(i + 1, len(scores) + 1)])
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.integers(-6, 6), max_size=14))
+def test_region_equals_all_regions_tried(scores):
+    start, end = main_text.best_region(scores)
+    assert sum(scores[start:end]) == every_region(scores)
+    assert (start, end) == (0, 0) or end > start
+
+
+def test_pages_of_another_make_than_the_fitted_ones(spark):
+    """Fitted on the stored pages, tried on pages written by hand."""
+    weights = main_text.fit(table(spark, SF_MID, "pages"))
+    for page, want in (
+            (f"<div id=top><ul class=menu><li>Home<li>News</ul></div><div class=story><h1>T</h1><p>{BODY}<p>{BODY}</div>"
+             "<div class='related-posts'><p>More like this and that</p></div><p class=copyright>all rights</p>", f"T\n{BODY}\n{BODY}"),
+            (f"<table><tr><td class=nav>Home News Sport<td><h2>T</h2>{BODY}<br>{BODY}</table>", f"T\n{BODY}\n{BODY}"),
+            (f"<main><header><p>Site</p></header><section><p>{BODY}</p><figure><figcaption>A view</figcaption></figure></section>"
+             f"<section class=comments><article><p>I like it a lot, it is good</p></article></section></main>", f"{BODY}\nA view")):
+        assert weights.extract(page) == want

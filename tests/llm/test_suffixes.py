@@ -61,7 +61,7 @@ def test_edge_rows(spark):
 @settings(max_examples=100, deadline=None)
 @given(st.binary(max_size=60), st.integers(2, 12))
 def test_anchor_runs_cover_every_start_once(data, span):
-    lo, hi, a, whole, right, left = suffixes.anchors(np.frombuffer(data, np.uint8), span)
+    lo, hi, a, whole, right, left, check = suffixes.anchors(np.frombuffer(data, np.uint8), span)
     starts = [k for x, y in zip(lo, hi) for k in range(x, y + 1)]
     assert starts == list(range(max(0, len(data) - span + 1)))
     assert all(x <= p <= y + span for x, y, p in zip(lo, hi, a))
@@ -73,3 +73,44 @@ def test_segments_of_a_long_text(monkeypatch):
     data = np.random.default_rng(1).integers(0, 3, 1000).astype(np.uint8)
     lo, hi, *_ = suffixes.anchors(data, 10)
     assert [k for x, y in zip(lo, hi) for k in range(x, y + 1)] == list(range(991))
+
+
+def test_many_equal_rows_and_copies(spark):
+    """Equal rows, copies under other ids, a text that shares a part with them, and short copies."""
+    rng = np.random.default_rng(5)
+    long = "".join(rng.choice(list("abcdefgh "), 9600))
+    other = "".join(rng.choice(list("abcdefgh "), 900))
+    rows = [(1, long)] * 300 + [(i, long) for i in range(2, 150)] + [(500, other + long[4000:4700]), (501, "short")] + [
+        (502, "short")] * 3 + [(600, other)]
+    got = suffixes.remove_repeats(docs(spark, rows).repartition(8)).collect()
+    assert sorted(map(tuple, got), key=str) == brute(rows, suffixes.SPAN)
+
+
+def test_keys_that_collide_are_drawn_again(spark):
+    from pyspark.sql import functions as F
+    rows = docs(spark, [(1, "a"), (2, "b"), (3, "b")]).select("doc_id", "text")
+    keyed, copies = suffixes.text_keys(rows, lambda seed: F.lit(7).cast("bigint") if seed < 3 else F.xxhash64(F.lit(seed), "text"))
+    assert keyed.select("row").distinct().count() == 2
+    assert [r.row for r in copies.collect()] == [r.row for r in keyed.filter("doc_id = 2").collect()]
+
+
+def test_second_hash_tells_strings_apart():
+    one, two = (suffixes.anchors(np.random.default_rng(i).integers(97, 100, 80).astype(np.uint8), 10) for i in (1, 2))
+    same = suffixes.anchors(np.random.default_rng(1).integers(97, 100, 80).astype(np.uint8), 10)
+    assert one[6].tolist() == same[6].tolist() and not set(one[6].tolist()) & set(two[6].tolist())
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.integers(4, 60), st.integers(0, 100), st.data())
+def test_cells_hold_every_start_once_and_common_bytes(span, at, data):
+    most = span - max(1, span // 4)
+    a = at + most
+    lo = data.draw(st.integers(a - most, a))
+    hi = data.draw(st.integers(lo, a))
+    got = list(suffixes.cells(lo, hi, a, span))
+    assert sorted(i for x, y, _, _ in got for i in range(x, y + 1)) == list(range(lo, hi + 1))
+    width = most // 8 + 1
+    for x, y, start, end in got:
+        p = a - start
+        assert p % width == 0 and all(i <= start and end <= i + span and (a - i) // width == p // width for i in range(x, y + 1))
+        assert end - start >= span - width + 1

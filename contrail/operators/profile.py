@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -140,3 +140,22 @@ def compare_versions(df: DataFrame, old: str, new: str, version: str = "version"
     new_v = F.when(is_reason, F.coalesce("new_value", F.lit(0.0))).otherwise(F.col("new_value"))
     return j.select("measure", old_v.alias("old_value"), new_v.alias("new_value"),
                     (new_v - old_v).alias("delta"))
+
+
+def delay_sketches(df: DataFrame, by: Sequence[str], minutes: str = "delay_minutes", flag: str = "is_significant_delay",
+                   k: int = 800) -> DataFrame:
+    """Quantile sketches (KLL) of the positives' delays, one a group of ``by``,
+    to be stored: approximate quantiles (G3, G7) of any union of groups come
+    from them by ``sketch_quantiles``, without another pass over the rows."""
+    return df.filter((F.col(flag) == 1) & F.col(minutes).isNotNull()).groupBy(*by).agg(
+        F.count("*").alias("n_rows"), F.kll_sketch_agg_double(F.col(minutes).cast("double"), F.lit(k)).alias("sketch"))
+
+
+#: Rank error of a sketch with k = 800 (merged ones too), over 99 % of the time well below this.
+SKETCH_ERROR = 0.01
+
+
+def sketch_quantiles(sketches: DataFrame, by: Sequence[str], qs: Mapping[str, float], k: int = 800) -> DataFrame:
+    """Sketches merged within each group of ``by``: rows and one column a quantile."""
+    merged = sketches.groupBy(*by).agg(F.sum("n_rows").alias("n_rows"), F.kll_merge_agg_double("sketch", F.lit(k)).alias("_s"))
+    return merged.select(*by, "n_rows", *[F.kll_sketch_get_quantile_double("_s", F.lit(float(q))).alias(name) for name, q in qs.items()])

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from contrail.operators import dedup, lineage, profile
 from contrail.plans.oracle_views import with_views
 from contrail.plans.registry import query
+from contrail.session import cut_lineage
 from contrail.sources import fixtures as fx
 
 #: Every column of the fixture's versions (all of the row).
@@ -210,3 +211,24 @@ SELECT experiment, metric, run_id, start_time, value,
 FROM long""")
 def metric_deltas(spark, d):
     return lineage.metric_deltas(fx.runs(spark, d))
+
+
+@query("approximate_delays", ("G3", "G7"), sql=with_views("dataset_versions") + """
+SELECT version, count(*) AS n_rows, true AS median_in_bound, true AS p95_in_bound
+FROM dataset_versions WHERE is_significant_delay = 1 GROUP BY version""")
+def approximate_delays(spark, d):
+    """Sketches a version and ship year, stored, then merged to versions: the
+    exact ranks of each quantile must lie within the stated error."""
+    rows = cut_lineage(fx.dataset_versions(spark, d, STATS_COLS).select(
+        "version", F.year("l_shipdate").alias("year"), "delay_minutes", "is_significant_delay"))
+    stored = cut_lineage(profile.delay_sketches(rows, ["version", "year"]))
+    qs = {"median": 0.5, "p95": 0.95}
+    found = profile.sketch_quantiles(stored, ["version"], qs)
+    late = rows.filter("is_significant_delay = 1").groupBy("version", "delay_minutes").agg(F.count("*").alias("c"))
+    error = profile.SKETCH_ERROR
+    ranks = late.join(found, "version").groupBy("version", "n_rows").agg(*[
+        F.sum(F.when(F.col("delay_minutes") < F.col(n), F.col("c")).otherwise(0)).alias(f"{n}_below") for n in qs], *[
+        F.sum(F.when(F.col("delay_minutes") <= F.col(n), F.col("c")).otherwise(0)).alias(f"{n}_upto") for n in qs])
+    return ranks.select("version", "n_rows", *[
+        ((F.col(f"{n}_below") / F.col("n_rows") <= q + error) & (F.col(f"{n}_upto") / F.col("n_rows") >= q - error)).alias(f"{n}_in_bound")
+        for n, q in qs.items()])

@@ -120,9 +120,10 @@ def segments(data: np.ndarray, span: int) -> Iterator[tuple[int, np.ndarray]]:
         yield at, data[at:at + step + span - 1]
 
 
-def anchors(data: np.ndarray, span: int) -> tuple[np.ndarray, ...]:
+def anchors(data: np.ndarray, span: int, cores: bool = True) -> tuple[np.ndarray, ...]:
     """Runs of string starts with one anchor: lo, hi (both inclusive), names
-    of the whole stretch, of the right and the left core (0: no such start), second hash of the stretch."""
+    of the whole stretch, of the right and the left core (0: no such start), second hash of the stretch.
+    Without ``cores`` all of those are 0."""
     piece = max(1, span // 4)
     half = (span - piece) // 2
     out = []
@@ -134,10 +135,10 @@ def anchors(data: np.ndarray, span: int) -> tuple[np.ndarray, ...]:
         hi = np.r_[lo[1:], len(where)] - 1
         a = where[lo]
         right, left = hi >= a - half, lo < a - half
-        r = np.zeros(len(a), np.uint64)
-        r[right] = names.of(a[right], a[right] + span - half)
-        x = np.zeros(len(a), np.uint64)
-        x[left] = names.of(a[left] - half - 1, a[left] + piece)
+        r, x = np.zeros(len(a), np.uint64), np.zeros(len(a), np.uint64)
+        if cores:
+            r[right] = names.of(a[right], a[right] + span - half)
+            x[left] = names.of(a[left] - half - 1, a[left] + piece)
         out.append((lo + at, hi + at, a + at, names.of(lo, hi + span), r, x, checks(part, lo, hi + span)))
     return tuple(map(np.concatenate, zip(*out))) if out else (
         (np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint64),) * 3 + (np.zeros(0, np.int32),))
@@ -150,14 +151,14 @@ def _bytes(text: str) -> np.ndarray:
 @F.pandas_udf(T.BinaryType())
 def _packed(texts: pd.Series) -> pd.Series:
     """Texts compressed for the shuffles of the two joins that move them."""
-    pack = zstandard.ZstdCompressor(level=6).compress
+    pack = zstandard.ZstdCompressor(level=4).compress
     return texts.map(lambda t: pack(t.encode("utf-8", "surrogatepass")))
 
 
-def _anchor_rows(span: int):
+def _anchor_rows(span: int, cores: bool):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            parts = [(row, anchors(_bytes(text), span)) for row, text in zip(batch["row"], batch["text"])]
+            parts = [(row, anchors(_bytes(text), span, cores)) for row, text in zip(batch["row"], batch["text"])]
             if parts:
                 columns = [np.concatenate(c) for c in zip(*(p for _, p in parts))]
                 names = [c.view(np.int64) for c in columns[3:6]]
@@ -247,13 +248,15 @@ def repeated_starts(texts: DataFrame, copies: DataFrame, span: int = SPAN) -> Da
     doc_id, text; ``copies``: row and one doc_id of the texts that occur twice.
 
     A count counts each copy, so in a text with copies all strings are repeats, as they are."""
-    found = texts.select("row", "text").mapInPandas(
-        _anchor_rows(span), "row long, lo long, hi long, a long, whole long, `right` long, `left` long, check int")
+    def found(cores: bool) -> DataFrame:
+        return texts.select("row", "text").mapInPandas(
+            _anchor_rows(span, cores), "row long, lo long, hi long, a long, whole long, `right` long, `left` long, check int")
+
     # round 1: the whole stretch of an anchor
-    wholes = cut_lineage(found.groupBy("whole", "check").agg(
+    wholes = cut_lineage(found(True).groupBy("whole", "check").agg(
         F.count("*").alias("n"), F.min(F.struct("row", "lo", "hi", "a", "right", "left")).alias("first")))
     twice = wholes.filter("n > 1").select("whole", "check")
-    settled = found.select("row", "lo", "hi", "whole", "check").join(twice, ["whole", "check"]).select("row", "lo", "hi")
+    settled = found(False).select("row", "lo", "hi", "whole", "check").join(twice, ["whole", "check"]).select("row", "lo", "hi")
     # round 2: 5/8 of the length, one representative of each stretch
     half = (span - max(1, span // 4)) // 2
     sides = wholes.select("n", "first.*").select("n", "row", "lo", "hi", "a", F.inline(F.array(

@@ -7,7 +7,8 @@ with the revisit's: the ETag (weak comparison) where both have one, else
 Last-Modified, else the payload digest.  A resolved revisit takes the source's body and headers, with
 its own headers merged over them except those that describe the stored body.
 
-The as-of join splits each URL by time slices: the latest response inside the
+The as-of join splits each URL by time slices, cut at approximate quantiles of all
+times (at most ``slices`` numbers on the driver): the latest response inside the
 slice by a window over (URL, slice), and the one carried into it by a window
 over a table of one row for each (URL, slice).  So a URL that holds a large
 part of all records is never ordered in one task.  Bodies don't take part.
@@ -22,6 +23,9 @@ the greater ETag, then digest, counts as later.  Null headers count as none.
 
 from __future__ import annotations
 
+import math
+
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -79,12 +83,16 @@ def sources(records: DataFrame, slices: int | None = None) -> DataFrame:
                           "digest", ((F.col("type") == "response") & (F.col("status") == 200)
                                      & F.col("body").isNotNull()).alias("full"))
     rows = rows.filter("full or type = 'revisit'")
-    low, high = rows.agg(F.min("captured_at"), F.max("captured_at")).first()
-    cut = (F.width_bucket(F.col("captured_at").cast("double"), F.lit(float(low)), F.lit(float(high) + 1), F.lit(slices))
-           if low is not None else F.lit(0).cast("bigint"))
+    # cuts at quantiles of the times, so that no stray time makes one slice of all others
+    steps = [k / slices for k in range(1, slices)]
+    when = F.col("captured_at").cast("double")
+    cuts = rows.agg(F.percentile_approx(when, steps, 20 * slices)).first()[0] if steps else None
+    splits = [-math.inf, *sorted({c for c in cuts or [] if math.isfinite(c)}), math.inf]
+    rows = Bucketizer(splits=splits if len(splits) > 2 else [-math.inf, 0.0, math.inf], inputCol="__when", outputCol="slice",
+                      handleInvalid="keep").transform(rows.withColumn("__when", F.coalesce(when, F.lit(math.nan)))).drop("__when")
     answer = F.when(F.col("full"), F.struct("captured_at", "record_id", F.col("h")["etag"].alias("etag"), "digest",
                                      F.col("h")["last-modified"].alias("modified"), header_text(F.col("h")).alias("order")))
-    rows = rows.withColumns({"slice": cut, "answer": answer})
+    rows = rows.withColumn("answer", answer)
 
     order = [F.col("captured_at"), F.col("record_id"), F.col("answer.etag"), F.col("answer.digest")]
     here = Window.partitionBy("url_key", "slice").orderBy(*order)

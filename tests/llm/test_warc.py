@@ -77,3 +77,19 @@ def test_edge_rows(spark):
     pages = spark.createDataFrame([(None, None, None), (1, None, None), (2, "u", None), (2, "u", "x" * 100000)],
                                   "page_id bigint, url string, html string")
     assert warc.resolve(warc.captures(pages)).filter("outcome is null").count() == 0
+
+
+def test_stray_times_leave_the_others_in_many_slices(spark, monkeypatch):
+    rows = [row(i, t, "response" if i % 3 == 0 else "revisit", f'"v{i // 3}"', f"b{i}" if i % 3 == 0 else None)
+            for i, t in enumerate([0, *range(10 ** 9, 10 ** 9 + 297), 10 ** 15, 10 ** 15])]
+    seen = []
+    window = warc.Window.partitionBy
+    monkeypatch.setattr(warc.Window, "partitionBy", lambda *c: seen.append(c) or window(*c))
+    got = resolved(spark, rows, 10)
+    assert seen and len(got) == 200
+    assert all(r["outcome"] == "resolved" and r["source_id"] == i - i % 3 for i, r in got.items())
+    frame = spark.createDataFrame(rows, RECORDS)
+    plan = warc.sources(frame, 10)._jdf.queryExecution().optimizedPlan().toString()
+    assert "slice" in plan
+    cuts = frame.selectExpr("percentile_approx(cast(captured_at as double), array(0.1, 0.5, 0.9), 200) c").first().c
+    assert all(10 ** 9 <= c < 10 ** 9 + 297 for c in cuts)

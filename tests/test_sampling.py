@@ -143,3 +143,21 @@ def test_running_totals_null_group_kept(spark):
     assert got == [("", 1, 1), ("", 2, 2), ("a", 5, 1)]
     split = sampling.stratified_split(df.withColumn("k", F.col("v").cast("string")), "g", "k", 0.5, 1).collect()
     assert len(split) == 3
+
+
+def test_large_cut_buckets_are_ranked_in_ranges_alike(spark, skewed, monkeypatch):
+    """One key in a third of all rows puts them into one bucket; either way of ranking it takes the same rows."""
+    rows = [("hot" if i % 3 == 0 else f"f{i}", 100.0, i % 14, 0, "none") for i in range(900)] + [(None, 100.0, 3, 0, "none")] * 3
+    df = spark.createDataFrame(rows, "flight_id string, previous_flight_delay_min double, delay_minutes int, "
+                                     "is_significant_delay int, delay_reason string")
+    seed, rules = sampling.RULE_SETS["v1"]
+
+    def outcome():
+        relabelled = sampling.relabel(df, rules, "flight_id", seed, tie=["delay_minutes"]).collect()
+        split = sampling.stratified_split(skewed, "cls", "key", 0.2, 42).collect()
+        return sorted(map(repr, relabelled)), sorted(map(repr, split))
+
+    small = outcome()
+    monkeypatch.setattr(sampling, "CUT_ROWS", 0)
+    assert outcome() == small
+    assert sum("cascade" in r for r in small[0]) == math.floor(0.6 * 903)

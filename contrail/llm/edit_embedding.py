@@ -11,8 +11,8 @@ fingerprints is one less the share of differing samples, each weighted by the
 steps it stands for; steps that only one text has differ.
 
 ``near_classes`` goes on to near copies: fingerprints are banded by
-sampled digits, each bucket is joined to its smallest member (never pair by
-pair), and links are verified by likeness.
+sampled digits, each bucket is joined to one member (never pair by pair), links
+are verified by likeness, and members unlike that one meet others.
 
 Defined cases: null text is empty; the empty text's fingerprint is empty, and
 two empty ones are fully alike; documents are ordered by (doc_id, text) with
@@ -37,6 +37,7 @@ from contrail.session import cut_lineage
 
 SAMPLES = 64
 CYCLE = 1024  # the random bits repeat after so many steps
+MORE_DIGITS = 2  # samples by which a key grows for what is unlike its hub
 KINDS = 256  # characters share bits modulo a hash
 #: Documents of one id range, on average, and the most ranges.
 RANGE_ROWS, MOST_RANGES = 500, 20_000
@@ -186,16 +187,30 @@ def near_classes(prints: DataFrame, least: float = 0.8, digits: int = 8) -> Data
     copies by banding and verification; class_id is the smallest id linked.
 
     Bands of ``digits`` samples from the two largest octaves that a text reaches
-    are the keys.  Each distinct fingerprint is joined to the smallest one in
-    its bucket; links of likeness ``least`` or more stay."""
+    are the keys.  Each distinct fingerprint is joined to one of its bucket,
+    drawn by a hash of both, so that every band has a hub of its own; links of
+    likeness ``least`` or more stay.  What is unlike its hub goes on with a
+    key longer by ``MORE_DIGITS`` samples and is compared with another hub, round by
+    round until no bucket holds two: a bucket loses its hub in each round, and a
+    frequent one falls apart, so pairs do not grow with the square of its size."""
     width = SAMPLES // digits
 
-    @F.pandas_udf(T.ArrayType(T.StringType()))
+    def top(p: str) -> int:
+        return max(0, (len(p) - 1) // SAMPLES * SAMPLES - SAMPLES)  # the two largest octaves that it reaches
+
+    @F.pandas_udf("array<struct<at:int,band:string>>")
     def bands(values: pd.Series) -> pd.Series:
-        def keys(p: str) -> list[str]:
-            top = max(0, (len(p) - 1) // SAMPLES * SAMPLES - SAMPLES)  # the two largest octaves that it reaches
-            return [f"{k}:{p[k:k + digits]}" for k in range(top, len(p), digits)][:2 * width]
-        return values.map(keys)
+        return values.map(lambda p: [{"at": k, "band": f"{k}:{p[k:k + digits]}"}
+                                     for k in range(top(p), len(p), digits)][:2 * width])
+
+    @F.pandas_udf(T.StringType())
+    def further(values: pd.Series, ats: pd.Series, rounds: pd.Series) -> pd.Series:
+        """The samples that follow a band, in a circle through its octaves; none once all are in the key."""
+        def after(p: str, at: int, done: int) -> str:
+            window = p[top(p):]
+            k = digits + MORE_DIGITS * done
+            return (window[at - top(p):] + window[:at - top(p)])[k:k + MORE_DIGITS]
+        return pd.Series([after(*r) for r in zip(values, ats, rounds)], dtype=object)
 
     @F.pandas_udf(T.DoubleType())
     def alike(a: pd.Series, b: pd.Series) -> pd.Series:
@@ -203,13 +218,26 @@ def near_classes(prints: DataFrame, least: float = 0.8, digits: int = 8) -> Data
 
     nodes = cut_lineage(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("least"))
                         .withColumn("node", F.xxhash64("fingerprint")))
-    placed = nodes.select("node", F.explode(bands("fingerprint")).alias("band"))
-    hubs = placed.groupBy("band").agg(F.min("node").alias("hub"))
-    pairs = placed.join(hubs, "band").filter("node != hub").select("node", "hub").distinct()
-    a, b = nodes.select("node", F.col("fingerprint").alias("a")), nodes.select(F.col("node").alias("hub"),
-                                                                             F.col("fingerprint").alias("b"))
-    edges = pairs.join(a, "node").join(b, "hub").filter(alike("a", "b") >= least).select(
-        F.col("node").alias("u"), F.col("hub").alias("v"))
+    a = nodes.select("node", F.col("fingerprint").alias("a"))
+    b = nodes.select(F.col("node").alias("hub"), F.col("fingerprint").alias("b"))
+    placed = cut_lineage(nodes.select("node", F.inline(bands("fingerprint"))).select(
+        "node", "at", F.xxhash64("band").alias("key")))
+    edges, done = None, 0
+    while True:
+        hubs = placed.groupBy("key").agg(F.min_by("node", F.xxhash64("node", "key")).alias("hub"),
+                                         F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+        met = cut_lineage(placed.join(hubs, "key").filter("node != hub"))
+        if met.isEmpty():
+            break
+        judged = cut_lineage(met.select("node", "hub").distinct().join(a, "node").join(b, "hub").select(
+            "node", "hub", (alike("a", "b") >= least).alias("near")))
+        found = judged.filter("near").select(F.col("node").alias("u"), F.col("hub").alias("v"))
+        edges = found if edges is None else edges.unionByName(found)
+        unlike = met.join(judged.filter("not near"), ["node", "hub"]).join(a, "node")
+        placed = cut_lineage(unlike.select("node", "at", F.xxhash64("key", further("a", "at", F.lit(done))).alias("key")))
+        done += 1
+    if edges is None:
+        return nodes.select("fingerprint", F.col("least").alias("class_id"))
     roots = components(edges)
     rooted = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     ids = rooted.groupBy("root").agg(F.min("least").alias("class_id"))

@@ -74,6 +74,48 @@ def test_near_classes(spark):
     assert ee.near_classes(prints.limit(0)).count() == 0
 
 
+def test_near_classes_in_frequent_buckets(spark):
+    """Unlike texts that end alike share their buckets; near copies among them are found by other hubs.
+    Queries: ids divisible by 20, against all rows; links that hold by brute force."""
+    rng = random.Random(8)
+    rows = []
+    for k in range(60):  # the first half is a text's own, the second is one of three endings in part
+        own = "".join(rng.choice("abcdefghij ") for _ in range(1500))
+        ending = "".join(random.Random(k % 3).choice("klmnopqrst ") for _ in range(1500))
+        for j in range(5):
+            chars = list(own + ending)
+            for _ in range(j):
+                at = rng.randrange(1, len(chars))
+                chars[at:at + 1] = rng.choice([["z"], [], [chars[at], "q"]])
+            rows.append((5 * k + j, "".join(chars)))
+    printed = [(i, ee.fingerprint(t)) for i, t in rows]
+    prints = spark.createDataFrame(printed, "doc_id long, fingerprint string")
+    got = {r["doc_id"]: r["class_id"] for r in prints.join(ee.near_classes(prints), "fingerprint").collect()}
+    links = [(i, j) for i, a in printed if i % 20 == 0 for j, b in printed if j != i and ee.likeness(a, b) >= 0.8]
+    assert len(links) > 40
+    assert sum(got[i] == got[j] for i, j in links) >= 0.9 * len(links)
+    # a class is a set of rows that links hold together, nothing more
+    near = {i: {j for j, b in printed if ee.likeness(a, b) >= 0.8} for i, a in printed}
+    for i, c in got.items():
+        reached, new = {c}, {c}
+        while new:
+            new = set().union(*(near[j] for j in new)) - reached
+            reached |= new
+        assert i in reached
+    print("links", len(links), "recall", sum(got[i] == got[j] for i, j in links) / len(links))
+
+
+def test_unlike_members_of_one_bucket_part(spark):
+    """All fingerprints share every band of one octave, no two are alike: no links, and the rounds end."""
+    rng = random.Random(9)
+    first = "".join(rng.choice("0123456789abcdef") for _ in range(64))
+    shared = "".join(rng.choice("0123456789abcdef") for _ in range(64))
+    printed = [(i, first[:32] + "".join(rng.choice("0123456789abcdef") for _ in range(96)) + shared[:16]
+                + "".join(rng.choice("0123456789abcdef") for _ in range(48))) for i in range(50)]
+    prints = spark.createDataFrame(printed, "doc_id long, fingerprint string")
+    assert {r["class_id"] for r in ee.near_classes(prints).collect()} == set(range(50))
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.text(alphabet="abé😀 \n", max_size=300))
 def test_fingerprint_property(text):

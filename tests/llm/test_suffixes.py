@@ -2,6 +2,7 @@ import hashlib
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -114,3 +115,17 @@ def test_cells_hold_every_start_once_and_common_bytes(span, at, data):
         p = a - start
         assert p % width == 0 and all(i <= start and end <= i + span and (a - i) // width == p // width for i in range(x, y + 1))
         assert end - start >= span - width + 1
+
+
+@pytest.mark.parametrize("cores", [True, False])
+def test_texts_hashed_together_have_the_anchors_of_each(cores, monkeypatch):
+    monkeypatch.setattr(suffixes, "BLOCK", 300)
+    rng = np.random.default_rng(6)
+    texts = ["".join(rng.choice(list("ab é"), int(n))) for n in rng.integers(0, 200, 60)] + ["ab" * 400, "a" * 16, "a" * 15]
+    frame = pd.DataFrame({"row": np.arange(len(texts)), "text": texts})
+    got = pd.concat(list(suffixes._anchor_rows(16, cores)(iter([frame]))))
+    want = []
+    for row, text in enumerate(texts):
+        lo, hi, a, *names, check = suffixes.anchors(np.frombuffer(text.encode(), np.uint8), 16, cores)
+        want += zip([row] * len(lo), lo.tolist(), hi.tolist(), a.tolist(), *(n.view(np.int64).tolist() for n in names), check.tolist())
+    assert list(map(tuple, got.to_numpy().tolist())) == want

@@ -129,3 +129,24 @@ def test_texts_hashed_together_have_the_anchors_of_each(cores, monkeypatch):
         lo, hi, a, *names, check = suffixes.anchors(np.frombuffer(text.encode(), np.uint8), 16, cores)
         want += zip([row] * len(lo), lo.tolist(), hi.tolist(), a.tolist(), *(n.view(np.int64).tolist() for n in names), check.tolist())
     assert list(map(tuple, got.to_numpy().tolist())) == want
+
+
+def test_planted_passages_go_from_span_bytes_on(spark):
+    """Passages of over 50 words in two documents each: what counts is their bytes, and ``n_bytes`` stays the size of the text."""
+    rng = np.random.default_rng(7)
+
+    def words(n):
+        return " ".join("".join(rng.choice(list("abcdefghij"), int(k))) for k in rng.integers(3, 8, n))
+
+    rows, sizes = [], []
+    for size in [330, 399, 400, 401, 700]:
+        passage = words(size // 2)[:size]
+        assert len(passage.split()) > 50
+        for mark in "<>":  # no byte beside the passage is the same
+            rows.append((len(rows), words(80) + mark + passage + mark + words(80)))
+            sizes.append(size)
+    rows += [(100 + i, words(200)) for i in range(5)]
+    got = {r.doc_id: r for r in suffixes.remove_repeats(docs(spark, rows)).collect()}
+    assert [got[i].n_removed for i in range(len(sizes))] == [size if size >= suffixes.SPAN else 0 for size in sizes]
+    assert all(got[100 + i].n_removed == 0 for i in range(5))
+    assert all(got[i].n_bytes == len(text) for i, text in rows)

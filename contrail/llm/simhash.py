@@ -100,7 +100,8 @@ def links(nodes: DataFrame, distance: int = 4) -> DataFrame:
     moved = embedding(F.col("a.fp")).bitwiseXOR(embedding(F.col("b.fp")))
     same = sum(((F.col("a.last") >= g) & (moved.bitwiseAND(F.lit(_signed(m))) == 0)).cast("int")
                for g, m in enumerate(masks))
-    return (a.join(b, (F.col("a.grid") == F.col("b.grid")) & (F.col("a.cell") == F.col("b.cell"))
+    # the planner takes the cells of all grids for as many bytes as the stored fingerprints, and would broadcast them
+    return (a.join(b.hint("merge"), (F.col("a.grid") == F.col("b.grid")) & (F.col("a.cell") == F.col("b.cell"))
                    & (F.col("a.fp") < F.col("b.fp"))
                    & (F.bit_count(F.col("a.fp").bitwiseXOR(F.col("b.fp"))) <= distance)
                    & (F.bit_count(moved) <= distance) & (same == 3))

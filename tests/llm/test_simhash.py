@@ -3,6 +3,7 @@ import re
 import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from contrail.llm import simhash
 from contrail.llm.common import table
@@ -70,6 +71,15 @@ def test_links_at_every_distance(spark):
         assert simhash.links(frame, distance).count() == len(want)
 
 
+def test_cells_are_not_broadcast(spark, tmp_path):
+    """A stored table under the broadcast threshold has 35 cells for each of its rows."""
+    spark.range(5000).select(F.xxhash64("id").alias("fp")).write.parquet(str(tmp_path / "n"))
+    found = simhash.links(spark.read.parquet(str(tmp_path / "n")))
+    found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_components_of_a_long_chain(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 101), (101, 100), (7, 7)]
     got = {r["node"]: r["root"] for r in components(spark.createDataFrame(edges, "u bigint, v bigint")).collect()}

@@ -1,5 +1,5 @@
 import corpus_pipeline
-from contrail.llm import quality
+from contrail.llm import quality, simhash
 
 from helpers import SF_SMALL, clashing, docs, stored, EDGE
 from test_decontaminate import ITEMS
@@ -46,3 +46,15 @@ def test_stages_keep_columns_and_take_edge_rows(spark, tmp_path):
             assert set(columns) <= set(frame.columns)
             if name != corpus_pipeline.STAGES[-1][0]:
                 assert frame.columns == columns
+
+
+def test_near_duplicates_broadcast_no_cells(spark, monkeypatch):
+    seen, whole = [], simhash.components
+
+    def watched(links):
+        seen.append(links._jdf.queryExecution().executedPlan().toString())
+        return whole(links)
+    monkeypatch.setattr(simhash, "components", watched)
+    frame = docs(spark, [(i, f"{i} {i % 7} one two three four") for i in range(500)])
+    assert corpus_pipeline.near_duplicate_stage(spark, frame, None).count() > 1
+    assert "SortMergeJoin" in seen[0] and "Broadcast" not in seen[0]
